@@ -1,21 +1,26 @@
 """Shapley attribution of the forest's path length, as one Arrow function.
 
-For a leaf of value v, the features on its path (at most 8 with 256 rows per
-tree), cover ratios z and indicators o (the row passes every test on that
-feature) determine the contribution of the leaf:
+For a leaf of value v, the features on its path, their cover ratios z and
+indicators o (the row passes every test on that feature) determine what the leaf
+contributes (path-dependent TreeSHAP, Lundberg et al. 2018):
 
     phi_j += v (o_j - z_j) sum_s s! (m-s-1)! / m! e_s
 
-with e_s the coefficient of t^s in prod_{i != j} (z_i + o_i t) (path-dependent
-TreeSHAP, Lundberg et al. 2018). The indicators are bits, so all values of a
-leaf form a table of 2^m rows that is computed once. Scoring a row means finding
-its bit pattern per leaf and adding up table rows.
+with e_s the coefficient of t^s in prod_{i != j} (z_i + o_i t). The weights are a
+Beta integral, so the sum equals
+
+    integral_0^1 prod_{i != j} (z_i (1-t) + o_i t) dt
+
+a polynomial of degree m - 1, which Gauss-Legendre quadrature with m / 2 points
+integrates exactly. At a point t the product runs down the tree and the sum over
+leaves runs up again, each edge adding its share to its feature (a split on a
+feature seen before replaces the factor of the earlier split). All rows of a
+batch go through a level of a tree at once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import factorial
 
 import numpy as np
 import pandas as pd
@@ -26,108 +31,134 @@ from flowsift.operators.features import feature_vector
 from flowsift.operators.forest import IsolationForest
 from flowsift.schema import FEATURES
 
-_CHUNK = 256
-
-
-def _paths(tree: pd.DataFrame) -> list[dict]:
-    """Per leaf: value, tests (node, goes left) and cover ratio per feature."""
-    by_id = {r.node_id: r for r in tree.itertuples()}
-    leaves = []
-    stack = [(0, [], {})]
-    while stack:
-        node_id, tests, ratio = stack.pop()
-        node = by_id[node_id]
-        if node.feature < 0:
-            leaves.append({"value": node.value, "tests": tests, "ratio": ratio})
-            continue
-        for child, goes_left in ((node.left, True), (node.right, False)):
-            share = dict(ratio)
-            share[node.feature] = share.get(node.feature, 1.0) * by_id[child].n / node.n
-            stack.append((child, [*tests, (node_id, goes_left)], share))
-    return leaves
-
-
-def _pattern_tables(ratios: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Contributions for all bit patterns: (leaves, 2^m, m)."""
-    leaves, m = ratios.shape
-    bits = (np.arange(2**m)[:, None] >> np.arange(m)) & 1
-    out = np.empty((leaves, 2**m, m))
-    for j in range(m):
-        poly = np.zeros((leaves, 2**m, m))
-        poly[:, :, 0] = 1.0
-        for i in (i for i in range(m) if i != j):
-            shifted = np.zeros_like(poly)
-            shifted[:, :, 1:] = poly[:, :, :-1]
-            poly = poly * ratios[:, None, i, None] + shifted * bits[None, :, i, None]
-        weight = np.array([factorial(s) * factorial(m - s - 1) / factorial(m) for s in range(m)])
-        out[:, :, j] = values[:, None] * (bits[None, :, j] - ratios[:, None, j]) * (poly @ weight)
-    return out
+_CHUNK = 512
 
 
 def _compile_tree(tree: pd.DataFrame) -> dict | None:
-    """Arrays that evaluate one tree for many rows at once; None for a bare root."""
-    inner = tree[tree["feature"] >= 0]
-    if inner.empty:
+    """Edges of one tree in breadth-first order as arrays; None for a bare root.
+
+    An edge is named by its lower node. Index -1 stands for "no earlier edge".
+    """
+    nodes = {r.node_id: r for r in tree.itertuples()}
+    inner = [n for n in nodes.values() if n.feature >= 0]
+    if not inner:
         return None
-    node_row = {node: i for i, node in enumerate(inner["node_id"])}
-    leaves = _paths(tree)
-    depth = max(len(leaf["tests"]) for leaf in leaves)
-    dtype = np.uint8 if depth <= 8 else np.uint32
-    full = np.iinfo(dtype).max
-    feature_of = dict(zip(inner["node_id"], inner["feature"]))
-    always = 2 * len(node_row)  # row of the test table that is always true
-    tests = np.full((len(leaves), depth), always, dtype=np.intp)
-    spare = np.full((len(leaves), depth), full, dtype=dtype)
-    mask = np.zeros(len(leaves), dtype=dtype)
-    slots = [list(leaf["ratio"]) for leaf in leaves]
-    for a, leaf in enumerate(leaves):
-        mask[a] = (1 << len(slots[a])) - 1
-        for d, (node, goes_left) in enumerate(leaf["tests"]):
-            tests[a, d] = 2 * node_row[node] + (0 if goes_left else 1)
-            spare[a, d] = full ^ (1 << slots[a].index(feature_of[node]))
-    base = np.zeros(len(leaves), dtype=np.int64)
-    width = np.array([len(s) for s in slots], dtype=np.int64)
-    tables, used = [], 0
-    for m in np.unique(width):
-        same = np.flatnonzero(width == m)
-        ratios = np.array([[leaves[a]["ratio"][f] for f in slots[a]] for a in same])
-        table = _pattern_tables(ratios, np.array([leaves[a]["value"] for a in same]))
-        base[same] = used + np.arange(len(same)) * table[0].size
-        tables.append(table.ravel())
-        used += table.size
-    pairs = sorted((f, a, s) for a, names in enumerate(slots) for s, f in enumerate(names))
-    pair_feature = np.array([p[0] for p in pairs])
-    features, starts = np.unique(pair_feature, return_index=True)
+    inner_row = {n.node_id: i for i, n in enumerate(inner)}
+    points, weights = np.polynomial.legendre.leggauss((max(n.depth for n in nodes.values()) + 1) // 2)
+    t, w = (points + 1) / 2, weights / 2
+
+    # (node, edge index, {feature: latest edge index}), level by level
+    level, edges, bounds = [(nodes[0], -1, {})], [], [0]
+    while level:
+        below = []
+        for node, edge, latest in level:
+            if node.feature < 0:
+                continue
+            for child_id, flip in ((node.left, False), (node.right, True)):
+                child, before = nodes[child_id], latest.get(node.feature, -1)
+                z_before = edges[before]["z"] if before >= 0 else 1.0
+                index = len(edges)
+                edges.append(
+                    {
+                        "parent": edge,
+                        "test": inner_row[node.node_id],
+                        "flip": flip,
+                        "before": before,
+                        "feature": node.feature,
+                        "z": z_before * child.n / node.n,
+                        "z_before": z_before,
+                        # The value of a leaf rides on the factor of its edge.
+                        "value": child.value if child.feature < 0 else 1.0,
+                    }
+                )
+                below.append((child, index, {**latest, node.feature: index}))
+        if below:
+            bounds.append(len(edges))
+        level = below
+    col = {k: np.array([e[k] for e in edges]) for k in edges[0]}
+
+    def factor(z, o):
+        return z[:, None, None] * (1 - t) + o[None, :, None] * t
+
+    # A row passes an edge's tests now and before: (0,0), (0,1) or (1,1).
+    now, earlier = np.array([0.0, 0.0, 1.0]), np.array([0.0, 1.0, 1.0])
+    z, z_before = col["z"], col["z_before"]
+    f_now, f_earlier = factor(z, now), factor(z_before, earlier)
+    share = (now[None, :] - z[:, None])[:, :, None] / f_now
+    share_earlier = (earlier[None, :] - z_before[:, None])[:, :, None] / f_earlier
+    features, which = np.unique(col["feature"], return_inverse=True)
     return {
-        "feature": inner["feature"].to_numpy(np.intp),
-        "threshold": inner["threshold"].to_numpy(np.float64),
-        "tests": tests,
-        "spare": spare,
-        "mask": mask,
-        "base": base,
-        "width": width,
-        "table": np.concatenate(tables),
-        "pair_leaf": np.array([p[1] for p in pairs], dtype=np.intp),
-        "pair_slot": np.array([p[2] for p in pairs], dtype=np.int64),
+        "split_feature": np.array([n.feature for n in inner], dtype=np.intp),
+        "split_threshold": np.array([n.threshold for n in inner]),
+        "test": col["test"],
+        "flip": col["flip"][:, None],
+        "before": col["before"],
+        "parent": col["parent"],
+        "bounds": bounds,
+        "first_state": 3 * np.arange(len(edges))[:, None],
+        "ratio": (col["value"][:, None, None] * f_now / f_earlier).reshape(-1, len(t)),
+        "share": (w * (share - share_earlier)).reshape(-1, len(t)),
         "features": features.astype(np.intp),
-        "starts": starts,
+        "of_feature": (which == np.arange(len(features))[:, None]).astype(np.float64),
+    }
+
+
+def _buffers(trees: list[dict], n_rows: int) -> dict:
+    """Working memory for any of the trees, allocated once per batch size."""
+    edges = max(len(t["test"]) for t in trees)
+    points = max(t["ratio"].shape[1] for t in trees)
+    return {
+        "now": np.empty((edges + 1) * n_rows, dtype=np.uint8),
+        "state": np.empty(edges * n_rows, dtype=np.intp),
+        "product": np.empty((edges + 1) * n_rows * points),
+        "gathered": np.empty(edges * n_rows * points),
     }
 
 
-def _tree_phi(tree: dict, x: np.ndarray) -> np.ndarray:
+def _tree_phi(tree: dict, x: np.ndarray, buffers: dict) -> np.ndarray:
     """(features of the tree, rows) contributions to the path length."""
-    dtype = tree["mask"].dtype
-    full = np.iinfo(dtype).max
-    passed = np.full((2 * len(tree["feature"]) + 1, len(x)), full, dtype=dtype)
-    left = (x[:, tree["feature"]] <= tree["threshold"]).T
-    passed[0:-1:2] = left * dtype.type(full)
-    passed[1:-1:2] = ~left * dtype.type(full)
-    code = np.repeat(tree["mask"][:, None], len(x), axis=1)
-    for d in range(tree["tests"].shape[1]):
-        code &= passed[tree["tests"][:, d]] | tree["spare"][:, d, None]
-    at = tree["base"][:, None] + code * tree["width"][:, None]
-    values = tree["table"].take(at[tree["pair_leaf"]] + tree["pair_slot"][:, None])
-    return np.add.reduceat(values, tree["starts"], axis=0)
+    left = (x[:, tree["split_feature"]] <= tree["split_threshold"]).T
+    passes = (left[tree["test"]] ^ tree["flip"]).view(np.uint8)
+    n_edges, n_rows = passes.shape
+    points = tree["ratio"].shape[1]
+    levels = list(zip(tree["bounds"][:-1], tree["bounds"][1:]))
+
+    def view(name: str, *shape: int) -> np.ndarray:
+        return buffers[name][: int(np.prod(shape))].reshape(shape)
+
+    # One more row, reached by index -1: no earlier edge, every test passed, product 1.
+    now, state = view("now", n_edges + 1, n_rows), view("state", n_edges, n_rows)
+    product, gathered = view("product", n_edges + 1, n_rows, points), view("gathered", n_edges, n_rows, points)
+    now[-1], product[-1] = 1, 1.0
+    # Siblings are adjacent, left at an even place, so a level is a list of pairs.
+    for a, b in levels:
+        earlier = now[tree["before"][a:b]]
+        np.bitwise_and(passes[a:b], earlier, out=now[a:b])
+        state[a:b] = now[a:b] + earlier
+    state += tree["first_state"]
+    np.take(tree["ratio"], state, axis=0, out=gathered, mode="clip")
+    for a, b in levels:
+        pair = ((b - a) // 2, 2, n_rows, points)
+        parent = product[tree["parent"][a:b:2]][:, None]
+        np.multiply(parent, gathered[a:b].reshape(pair), out=product[a:b].reshape(pair))
+    for a, b in reversed(levels[1:]):
+        product[tree["parent"][a:b:2]] = product[a:b:2] + product[a + 1 : b : 2]
+    np.take(tree["share"], state, axis=0, out=gathered, mode="clip")
+    np.multiply(gathered, product[:-1], out=gathered)
+    by_edge = (gathered.reshape(-1, points) @ np.ones(points)).reshape(n_edges, n_rows)
+    return tree["of_feature"] @ by_edge
+
+
+def _forest_phi(trees: list[dict], x: np.ndarray) -> np.ndarray:
+    """(features, rows) contributions summed over the trees."""
+    phi = np.zeros((x.shape[1], len(x)))
+    if trees:
+        buffers = _buffers(trees, min(_CHUNK, len(x)))
+        for start in range(0, len(x), _CHUNK):
+            part = x[start : start + _CHUNK]
+            for tree in trees:
+                phi[tree["features"], start : start + _CHUNK] += _tree_phi(tree, part, buffers)
+    return phi
 
 
 def base_value(forest: IsolationForest) -> float:
@@ -165,14 +196,10 @@ class FlowExplainer:
             trees, n_trees = compiled.value
             for batch in batches:
                 x = np.column_stack([s.to_numpy(dtype=np.float64) for s in batch])
-                phi = np.zeros((len(FEATURES), len(x)))
-                for start in range(0, len(x), _CHUNK):
-                    part = x[start : start + _CHUNK]
-                    for tree in trees:
-                        phi[tree["features"], start : start + _CHUNK] += _tree_phi(tree, part)
-                yield pd.Series(list((phi / -n_trees).T))
-
-        return attribute(*feature_vector())
+                yield pd.Series(list((_forest_phi(trees, x) / -n_trees).T))
+
+        # A deterministic function would be pushed into filters and run twice.
+        return attribute.asNondeterministic()(*feature_vector())
 
     def compute_anomaly_shap(self, features: DataFrame) -> DataFrame:
         """``features`` with ``phi``; run it on alerted or sampled flows only."""

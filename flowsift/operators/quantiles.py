@@ -54,6 +54,13 @@ class _Target:
         return None
 
 
+def _grid_sketch(value: str) -> str:
+    """SQL for GRID + 1 approximate quantiles; as text, since a list of that many
+    literals is slow to hand over one by one."""
+    steps = ", ".join(f"{j / GRID!r}D" for j in range(GRID + 1))
+    return f"percentile_approx({value}, array({steps}), {SKETCH_ACCURACY})"
+
+
 def _clean(column: str) -> Column:
     value = F.col(column).cast("double")
     return F.when(~F.isnan(value), value)
@@ -81,10 +88,7 @@ def exact_quantiles(
         *[F.count(c).alias(f"n{i}") for i, c in enumerate(names)],
         *[F.min(c).alias(f"lo{i}") for i, c in enumerate(names)],
         *[F.max(c).alias(f"hi{i}") for i, c in enumerate(names)],
-        *[
-            F.percentile_approx(c, [j / GRID for j in range(GRID + 1)], SKETCH_ACCURACY).alias(f"q{i}")
-            for i, c in enumerate(names)
-        ],
+        *[F.expr(_grid_sketch(f"`{c}`")).alias(f"q{i}") for i, c in enumerate(names)],
     )
     first = probe.limit(MAX_GROUPS + 1).collect()
     if len(first) > MAX_GROUPS:
@@ -154,21 +158,22 @@ def _count_round(base: DataFrame, todo: dict, exact_rows: int) -> None:
     slots: dict = {}
     for g, c, p in keys:
         slots.setdefault((c, p), []).append(g)
-    aggs, order = [], list(slots)
+    aggs, order, inner_values = [], list(slots), {}
     for j, (c, p) in enumerate(order):
         low, high = _bounds(slots[c, p], c, p, todo)
         x = F.col(c)
         inner = (x > low) & (x < high)
+        inner_values[f"__in{j}"] = F.when(inner, x)
         aggs += [
             F.count_if(x < low).alias(f"b{j}"),
             F.count_if(x == low).alias(f"l{j}"),
             F.count_if(inner).alias(f"i{j}"),
             F.count_if(x == high).alias(f"h{j}"),
-            F.percentile_approx(F.when(inner, x), [k / GRID for k in range(GRID + 1)], SKETCH_ACCURACY).alias(f"q{j}"),
+            F.expr(_grid_sketch(f"__in{j}")).alias(f"q{j}"),
             F.min(x).alias(f"lo{j}"),
             F.max(x).alias(f"hi{j}"),
         ]
-    for row in base.groupBy("__g").agg(*aggs).collect():
+    for row in base.withColumns(inner_values).groupBy("__g").agg(*aggs).collect():
         for j, (c, p) in enumerate(order):
             t = todo.get((row["__g"], c, p))
             if t is None:

@@ -19,11 +19,12 @@ def running_totals(
     exact whatever the edges are. Inside a bucket a window adds up; the total of
     earlier buckets (at most ``buckets`` rows) is joined on.
     """
-    steps = [i / buckets for i in range(1, buckets)]
-    edges = df.agg(F.percentile_approx(order_col, steps, 10_000).alias("edges")).first()["edges"]
-    edges = sorted(set(edges or []))
+    steps = ", ".join(f"{i / buckets!r}D" for i in range(1, buckets))
+    sketch = F.expr(f"percentile_approx(cast(`{order_col}` as double), array({steps}), 10000)")
+    edges = sorted(set(df.agg(sketch.alias("edges")).first()["edges"] or []))
     if edges:
-        bucket = F.size(F.filter(F.array(*map(F.lit, edges)), lambda e: e <= F.col(order_col)))
+        limits = F.expr("array(" + ", ".join(f"{e!r}D" for e in edges) + ")")
+        bucket = F.size(F.filter(limits, lambda e: e <= F.col(order_col)))
     else:
         bucket = F.lit(0)
     bucketed = df.withColumn("__bucket", bucket)

@@ -43,7 +43,10 @@ def stored_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _VIEWS:
-        _VIEWS[key] = materialize(VIEWS[name](spark, sf_dir), name)
+        # The given file is a single row group, read by one task; spread the rows
+        # so that later scans use every core.
+        view = VIEWS[name](spark, sf_dir).repartition(spark.sparkContext.defaultParallelism)
+        _VIEWS[key] = materialize(view, name)
     return _VIEWS[key]
 
 

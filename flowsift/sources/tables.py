@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from flowsift.operators.validate import validate_and_clean
 from flowsift.schema import RAW_FLOW_SCHEMA
 
-METRICS_SCHEMA = T._parse_datatype_string(
+METRICS_SCHEMA = (
     "auroc double, pr_auc double, threshold double, precision double, recall double, f1_score double, "
     "false_positive_rate double, "
     "confusion_matrix struct<true_negatives: bigint, false_positives: bigint, "
