@@ -17,8 +17,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EXACT_ROWS = 100_000
-GRID = 1_000
-SKETCH_ACCURACY = 10_000
+# Steps and accuracy of the sketches: coarse and cheap over all rows, fine over
+# the rows of a bracket that is still large.
+COARSE = (200, 2_000)
+FINE = (1_000, 10_000)
 MAX_GROUPS = 1_000
 _ROUNDS = 40
 
@@ -27,24 +29,22 @@ _ROUNDS = 40
 class _Target:
     """One wanted quantile of one column in one group."""
 
+    n: int
+    least: float
+    most: float
     rank: int  # 0-based rank of the lower neighbour
     upper: int  # 0-based rank of the upper neighbour
     weight: float  # share of the upper neighbour
     low: float  # every wanted rank lies in [low, high]
     high: float
-    inside: int = -1  # rows strictly between low and high
+    expected: float  # rows expected between low and high
+    inside: int = -1  # rows strictly between low and high, once counted
     below: int = -1  # rows < low
     at_low: int = -1  # rows == low
     values: list | None = None  # both neighbours, once known
 
-    @property
-    def open_ranks(self) -> list[int]:
-        return [r for r in (self.rank, self.upper) if self.edge_value(r) is None]
-
     def edge_value(self, rank: int):
-        """Value at ``rank`` if it sits on an edge of the bracket."""
-        if self.low == self.high:
-            return self.low
+        """Value at ``rank`` if it sits on an edge of the counted bracket."""
         if self.inside < 0:
             return None
         if rank < self.below + self.at_low:
@@ -53,12 +53,20 @@ class _Target:
             return self.high
         return None
 
+    @property
+    def is_open(self) -> bool:
+        return self.edge_value(self.rank) is None or self.edge_value(self.upper) is None
+
+    def move(self, low: float, high: float, expected: float) -> None:
+        self.low, self.high, self.expected, self.inside = low, high, expected, -1
 
-def _grid_sketch(value: str) -> str:
-    """SQL for GRID + 1 approximate quantiles; as text, since a list of that many
-    literals is slow to hand over one by one."""
-    steps = ", ".join(f"{j / GRID!r}D" for j in range(GRID + 1))
-    return f"percentile_approx({value}, array({steps}), {SKETCH_ACCURACY})"
+
+def _sketch(value: str, size: tuple[int, int]) -> str:
+    """SQL for evenly spaced approximate quantiles, both ends included; as text,
+    since a list of that many literals is slow to hand over one by one."""
+    grid, accuracy = size
+    steps = ", ".join(f"{j / grid!r}D" for j in range(grid + 1))
+    return f"percentile_approx({value}, array({steps}), {accuracy})"
 
 
 def _clean(column: str) -> Column:
@@ -79,166 +87,171 @@ def exact_quantiles(
     ``None`` values. Groups are a dimension (labels), checked against
     ``MAX_GROUPS`` because their brackets are held by the driver.
     """
-    base = df.select(
-        *([F.col(group).alias("__g")] if group else [F.lit(None).cast("string").alias("__g")]),
-        *[_clean(c).alias(c) for c in columns],
-    )
     names = list(columns)
-    probe = base.groupBy("__g").agg(
-        *[F.count(c).alias(f"n{i}") for i, c in enumerate(names)],
-        *[F.min(c).alias(f"lo{i}") for i, c in enumerate(names)],
-        *[F.max(c).alias(f"hi{i}") for i, c in enumerate(names)],
-        *[F.expr(_grid_sketch(f"`{c}`")).alias(f"q{i}") for i, c in enumerate(names)],
+    key = F.lit("") if group is None else F.coalesce(F.concat(F.lit("="), F.col(group).cast("string")), F.lit(""))
+    base = df.select(key.alias("__g"), *[_clean(c).alias(f"c{i}") for i, c in enumerate(names)])
+    first = (
+        base.groupBy("__g")
+        .agg(
+            *[F.count(f"c{i}").alias(f"n{i}") for i in range(len(names))],
+            *[F.min(f"c{i}").alias(f"lo{i}") for i in range(len(names))],
+            *[F.max(f"c{i}").alias(f"hi{i}") for i in range(len(names))],
+            *[F.expr(_sketch(f"c{i}", COARSE)).alias(f"q{i}") for i in range(len(names))],
+        )
+        .limit(MAX_GROUPS + 1)
+        .collect()
     )
-    first = probe.limit(MAX_GROUPS + 1).collect()
     if len(first) > MAX_GROUPS:
         raise ValueError(f"exact_quantiles: more than {MAX_GROUPS} groups in {group}")
     largest = max((row[f"n{i}"] for row in first for i in range(len(names))), default=0)
     if largest <= exact_rows:
-        return _small_quantiles(base, columns)
+        found = _small_quantiles(base, list(columns.values()))
+    else:
+        found = _bracketed_quantiles(base, list(columns.values()), first, exact_rows)
+    return {
+        (None if not g else g[1:]): {c: by_column[i] for i, c in enumerate(names)} for g, by_column in found.items()
+    }
+
 
+def _small_quantiles(base: DataFrame, wanted: list[list[float]]) -> dict:
+    """At most ``exact_rows`` values per buffer: the built-in aggregate does."""
+    rows = base.groupBy("__g").agg(*[F.percentile(f"c{i}", ps).alias(f"c{i}") for i, ps in enumerate(wanted)])
+    return {
+        r["__g"]: [list(r[f"c{i}"]) if r[f"c{i}"] is not None else [None] * len(ps) for i, ps in enumerate(wanted)]
+        for r in rows.collect()
+    }
+
+
+def _bracketed_quantiles(base: DataFrame, wanted: list[list[float]], first: list, exact_rows: int) -> dict:
     state: dict = {}
     for row in first:
-        for i, c in enumerate(names):
-            for p in columns[c]:
-                n = row[f"n{i}"]
-                if n:
-                    state[row["__g"], c, p] = _start(n, p, row[f"lo{i}"], row[f"hi{i}"], row[f"q{i}"])
+        for i, ps in enumerate(wanted):
+            if row[f"n{i}"]:
+                for p in ps:
+                    state[row["__g"], i, p] = _start(row[f"n{i}"], p, row[f"lo{i}"], row[f"hi{i}"], row[f"q{i}"])
     for _ in range(_ROUNDS):
         todo = {k: t for k, t in state.items() if t.values is None}
         if not todo:
             break
         _count_round(base, todo, exact_rows)
-        ready = {}
-        for k, t in todo.items():
-            if not t.open_ranks:
+        for t in todo.values():
+            if t.inside >= 0 and not t.is_open:
                 t.values = [t.edge_value(t.rank), t.edge_value(t.upper)]
-            elif 0 <= t.inside <= exact_rows:
-                ready[k] = t
+        ready = {k: t for k, t in todo.items() if t.values is None and 0 <= t.inside <= exact_rows}
         if ready:
             _finish(base, ready)
     else:
         raise RuntimeError("exact_quantiles: brackets did not converge")
-    out: dict = {row["__g"]: {c: [None] * len(ps) for c, ps in columns.items()} for row in first}
-    for (g, c, p), t in state.items():
+    out = {row["__g"]: [[None] * len(ps) for ps in wanted] for row in first}
+    for (g, i, p), t in state.items():
         low, high = t.values
-        out[g][c][columns[c].index(p)] = low if low == high else low + (high - low) * t.weight
+        out[g][i][wanted[i].index(p)] = low if low == high else low + (high - low) * t.weight
     return out
 
 
-def _small_quantiles(base: DataFrame, columns: dict[str, list[float]]) -> dict:
-    """At most ``exact_rows`` values per buffer: the built-in aggregate does."""
-    rows = base.groupBy("__g").agg(
-        *[F.percentile(c, ps).alias(c) for c, ps in columns.items()]
-    )
-    return {
-        r["__g"]: {c: list(r[c]) if r[c] is not None else [None] * len(ps) for c, ps in columns.items()}
-        for r in rows.collect()
-    }
-
-
-def _start(n: int, p: float, low: float, high: float, grid: list[float]) -> _Target:
+def _start(n: int, p: float, least: float, most: float, grid: list[float]) -> _Target:
     position = (n - 1) * p
     rank = int(math.floor(position))
     upper = min(rank + 1, n - 1)
-    spot = rank / n * GRID
-    a, b = int(spot) - 1, int(spot) + 2
-    return _Target(
-        rank=rank,
-        upper=upper,
-        weight=position - rank,
-        low=grid[a] if a >= 0 else low,
-        high=grid[b] if b <= GRID else high,
-    )
+    steps = len(grid) - 1
+    a, b = int(rank / n * steps) - 1, int(rank / n * steps) + 2
+    low, high = grid[a] if a >= 0 else least, grid[b] if b <= steps else most
+    return _Target(n, least, most, rank, upper, position - rank, low, high, 4 * n / steps)
+
+
+def _slots(targets: dict) -> list:
+    """Columns and probabilities that still need work, in a fixed order."""
+    return sorted({(i, p) for _, i, p in targets})
+
+
+def _with_brackets(base: DataFrame, targets: dict, slots: list) -> DataFrame:
+    """Add the bracket of the row's group per slot: ``low<j>``, ``high<j>``, and
+    the places ``a<j>``, ``z<j>`` of the wanted ranks among the sorted inner rows."""
+    groups = sorted({g for g, _, _ in targets})
+    fields = {"low": "double", "high": "double", "a": "int", "z": "int"}
+
+    def cell(g, j):
+        t = targets.get((g, *slots[j]))
+        if t is None:
+            return [None] * 4
+        places = [min(max(r - t.below - t.at_low, 0), max(t.inside - 1, 0)) + 1 for r in (t.rank, t.upper)]
+        return [t.low, t.high, *(places if t.inside >= 0 else [None, None])]
+
+    schema = ", ".join(f"{name}{j} {kind}" for j in range(len(slots)) for name, kind in fields.items())
+    rows = [(g, *[v for j in range(len(slots)) for v in cell(g, j)]) for g in groups]
+    if groups == [""]:
+        names = [f"{name}{j}" for j in range(len(slots)) for name in fields]
+        return base.withColumns(
+            {n: F.lit(v) if v is not None else F.lit(None).cast("int") for n, v in zip(names, rows[0][1:])}
+        )
+    # At most MAX_GROUPS rows, made by the driver itself.
+    table = base.sparkSession.createDataFrame(rows, f"__g string, {schema}")
+    return base.join(F.broadcast(table), "__g")
 
 
 def _count_round(base: DataFrame, todo: dict, exact_rows: int) -> None:
     """Count rows around every open bracket and move or shrink the bracket."""
-    keys = list(todo)
-    slots: dict = {}
-    for g, c, p in keys:
-        slots.setdefault((c, p), []).append(g)
-    aggs, order, inner_values = [], list(slots), {}
-    for j, (c, p) in enumerate(order):
-        low, high = _bounds(slots[c, p], c, p, todo)
-        x = F.col(c)
-        inner = (x > low) & (x < high)
-        inner_values[f"__in{j}"] = F.when(inner, x)
+    slots = _slots(todo)
+    bracketed = _with_brackets(base, todo, slots)
+    aggs, inner = [], {}
+    wide = {(i, p) for (_, i, p), t in todo.items() if t.expected > exact_rows / 2}
+    for j, (i, p) in enumerate(slots):
+        x, low, high = F.col(f"c{i}"), F.col(f"low{j}"), F.col(f"high{j}")
         aggs += [
             F.count_if(x < low).alias(f"b{j}"),
-            F.count_if(x == low).alias(f"l{j}"),
-            F.count_if(inner).alias(f"i{j}"),
-            F.count_if(x == high).alias(f"h{j}"),
-            F.expr(_grid_sketch(f"__in{j}")).alias(f"q{j}"),
-            F.min(x).alias(f"lo{j}"),
-            F.max(x).alias(f"hi{j}"),
+            F.count_if(x <= low).alias(f"l{j}"),
+            F.count_if(x < high).alias(f"i{j}"),
+            F.count_if(x <= high).alias(f"h{j}"),
         ]
-    for row in base.withColumns(inner_values).groupBy("__g").agg(*aggs).collect():
-        for j, (c, p) in enumerate(order):
-            t = todo.get((row["__g"], c, p))
+        if (i, p) in wide:  # more rows inside than one task should sort
+            inner[f"in{j}"] = F.when((x > low) & (x < high), x)
+            aggs.append(F.expr(_sketch(f"in{j}", FINE)).alias(f"q{j}"))
+    for row in bracketed.withColumns(inner).groupBy("__g").agg(*aggs).collect():
+        for j, (i, p) in enumerate(slots):
+            t = todo.get((row["__g"], i, p))
             if t is None:
                 continue
-            below, at_low, inside, at_high = (row[f"{x}{j}"] for x in "blih")
-            at_high = 0 if t.low == t.high else at_high
+            below, to_low, to_inside, to_high = (row[f"{x}{j}"] for x in "blih")
             if t.rank < below:  # the sketch missed: look below
-                t.low, t.high, t.inside = row[f"lo{j}"], t.low, -1
-            elif t.upper >= below + at_low + inside + at_high:  # or above
-                t.low, t.high, t.inside = t.high, row[f"hi{j}"], -1
+                t.move(t.least, t.low, below)
+            elif t.upper >= to_high:  # or above
+                t.move(t.high, t.most, t.n - to_high)
             else:
-                t.below, t.at_low, t.inside = below, at_low, inside
-                if t.open_ranks and inside > exact_rows:
-                    _shrink(t, row[f"q{j}"])
+                t.below, t.at_low, t.inside = below, to_low - below, max(to_inside - to_low, 0)
+                if t.is_open and t.inside > exact_rows:
+                    if (i, p) in wide:
+                        _shrink(t, row[f"q{j}"])
+                    else:
+                        t.move(t.low, t.high, t.inside)
 
 
 def _shrink(t: _Target, grid: list[float]) -> None:
     start = t.below + t.at_low
     first, last = (min(max(r - start, 0), t.inside - 1) for r in (t.rank, t.upper))
-    a, b = int(first / t.inside * GRID) - 1, int(last / t.inside * GRID) + 2
+    steps = len(grid) - 1
+    a, b = int(first / t.inside * steps) - 1, int(last / t.inside * steps) + 2
     # A rank outside the inner rows sits on an edge, so that edge stays.
     low = t.low if t.rank < start or a < 0 else grid[a]
-    high = t.high if t.upper >= start + t.inside or b > GRID else grid[b]
-    t.low, t.high, t.inside = low, high, -1
-
-
-def _bounds(groups: list, column: str, p: float, todo: dict) -> tuple[Column, Column]:
-    """Bracket of (column, probability) for the row's group."""
-    if groups == [None]:
-        t = todo[None, column, p]
-        return F.lit(t.low), F.lit(t.high)
-    low, high = F.lit(None).cast("double"), F.lit(None).cast("double")
-    for g in groups:
-        t = todo[g, column, p]
-        mine = F.col("__g").eqNullSafe(F.lit(g))
-        low, high = F.when(mine, F.lit(t.low)).otherwise(low), F.when(mine, F.lit(t.high)).otherwise(high)
-    return low, high
+    high = t.high if t.upper >= start + t.inside or b > steps else grid[b]
+    t.move(low, high, t.inside * (b - a + 1) / steps)
 
 
 def _finish(base: DataFrame, ready: dict) -> None:
     """Fetch the wanted ranks; at most ``exact_rows`` values lie in each bracket."""
-    slots: dict = {}
-    for g, c, p in ready:
-        slots.setdefault((c, p), []).append(g)
-    order = list(slots)
-    aggs = []
-    for j, (c, p) in enumerate(order):
-        low, high = _bounds(slots[c, p], c, p, ready)
-        x = F.col(c)
-        inner = F.sort_array(F.collect_list(F.when((x > low) & (x < high), x)))
-        first = F.lit(None).cast("int")
-        last = F.lit(None).cast("int")
-        for g in slots[c, p]:
-            t = ready[g, c, p]
-            start = t.below + t.at_low
-            mine = F.col("__g").eqNullSafe(F.lit(g))
-            first = F.when(mine, F.lit(t.rank - start)).otherwise(first)
-            last = F.when(mine, F.lit(t.upper - start)).otherwise(last)
-        aggs += [
-            F.try_element_at(inner, F.when((first >= 0) & (first < F.size(inner)), first + 1)).alias(f"a{j}"),
-            F.try_element_at(inner, F.when((last >= 0) & (last < F.size(inner)), last + 1)).alias(f"z{j}"),
-        ]
-    for row in base.groupBy("__g").agg(*aggs).collect():
-        for j, (c, p) in enumerate(order):
-            t = ready.get((row["__g"], c, p))
-            if t is not None:
+    slots = _slots(ready)
+    bracketed = _with_brackets(base, ready, slots)
+    # Where a group's bracket is not ready it has no bounds, so nothing is collected.
+    inner = {
+        f"in{j}": F.when((F.col(f"c{i}") > F.col(f"low{j}")) & (F.col(f"c{i}") < F.col(f"high{j}")), F.col(f"c{i}"))
+        for j, (i, _) in enumerate(slots)
+    }
+    picks = []
+    for j in range(len(slots)):
+        values = F.sort_array(F.collect_list(f"in{j}"))
+        picks += [F.try_element_at(values, F.first(f"{end}{j}")).alias(f"{end}{j}") for end in ("a", "z")]
+    for row in bracketed.withColumns(inner).groupBy("__g").agg(*picks).collect():
+        for j, slot in enumerate(slots):
+            t = ready.get((row["__g"], *slot))
+            if t:
                 low, high = t.edge_value(t.rank), t.edge_value(t.upper)
-                t.values = [low if low is not None else row[f"a{j}"], high if high is not None else row[f"z{j}"]]
+                t.values = [row[f"a{j}"] if low is None else low, row[f"z{j}"] if high is None else high]

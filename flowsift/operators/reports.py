@@ -59,7 +59,8 @@ def scored_view(scored: DataFrame, threshold: float) -> DataFrame:
     return scored.withColumns(
         {
             "status": F.when(hit, "FLAGGED").otherwise("NORMAL"),
-            "anomaly_score": F.round("anomaly_score", 3),
+            # Scaled, rounded half to even, scaled back: what array libraries do.
+            "anomaly_score": F.rint(F.col("anomaly_score") * 1000) / 1000,
         }
     )
 

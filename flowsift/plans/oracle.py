@@ -544,9 +544,9 @@ SQL["qry2_presets"] = _scored(
     )
 )
 SQL["qry3_scored_view"] = _scored(
-    f"SELECT flow_id, round(anomaly_score, 3) AS anomaly_score, CASE WHEN anomaly_score >= {CUT} THEN 'FLAGGED' ELSE 'NORMAL' END AS status FROM scored"
+    f"SELECT flow_id, round_even(anomaly_score * 1000, 0) / 1000 AS anomaly_score, CASE WHEN anomaly_score >= {CUT} THEN 'FLAGGED' ELSE 'NORMAL' END AS status FROM scored"
 )
-_QUEUE = f"queue AS (SELECT * REPLACE (round(anomaly_score, 3) AS anomaly_score) FROM scored WHERE anomaly_score >= {CUT})"
+_QUEUE = f"queue AS (SELECT * REPLACE (round_even(anomaly_score * 1000, 0) / 1000 AS anomaly_score) FROM scored WHERE anomaly_score >= {CUT})"
 SQL["qry4_incident_queue"] = _scored("SELECT flow_id, anomaly_score, label FROM queue ORDER BY 2 DESC, 1", _QUEUE)
 SQL["qry5_queue_labels"] = _scored("SELECT DISTINCT label FROM queue ORDER BY 1", _QUEUE)
 SQL["qry6_queue_by_label"] = _scored("SELECT flow_id, anomaly_score FROM queue WHERE label = 'port_scan'", _QUEUE)
