@@ -198,10 +198,10 @@ def _count_round(base: DataFrame, todo: dict, exact_rows: int) -> None:
     for j, (i, p) in enumerate(slots):
         x, low, high = F.col(f"c{i}"), F.col(f"low{j}"), F.col(f"high{j}")
         aggs += [
-            F.count_if(x < low).alias(f"b{j}"),
-            F.count_if(x <= low).alias(f"l{j}"),
-            F.count_if(x < high).alias(f"i{j}"),
-            F.count_if(x <= high).alias(f"h{j}"),
+            F.sum((x < low).cast("bigint")).alias(f"b{j}"),
+            F.sum((x <= low).cast("bigint")).alias(f"l{j}"),
+            F.sum((x < high).cast("bigint")).alias(f"i{j}"),
+            F.sum((x <= high).cast("bigint")).alias(f"h{j}"),
         ]
         if (i, p) in wide:  # more rows inside than one task should sort
             inner[f"in{j}"] = F.when((x > low) & (x < high), x)
@@ -211,7 +211,7 @@ def _count_round(base: DataFrame, todo: dict, exact_rows: int) -> None:
             t = todo.get((row["__g"], i, p))
             if t is None:
                 continue
-            below, to_low, to_inside, to_high = (row[f"{x}{j}"] for x in "blih")
+            below, to_low, to_inside, to_high = (row[f"{x}{j}"] or 0 for x in "blih")
             if t.rank < below:  # the sketch missed: look below
                 t.move(t.least, t.low, below)
             elif t.upper >= to_high:  # or above

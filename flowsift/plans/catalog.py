@@ -25,6 +25,7 @@ from flowsift.operators.rowkeys import with_flow_id
 from flowsift.operators.scaling import FlowScaler
 from flowsift.plans import benchmark, pipeline
 from flowsift.plans.frozen import frozen_model
+from flowsift.session import tune
 from flowsift.schema import BENIGN, FEATURES, FLAG_FEATURES, FLOW_COLUMNS, NUMERIC_FEATURES, ForestConfig
 from flowsift.sources import tables
 from flowsift.sources.derived import stored_view
@@ -43,8 +44,11 @@ _FROZEN: dict[tuple[str, str, str], DataFrame] = {}
 
 def query(name: str) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
-        QUERIES[name] = fn
-        return fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return fn(tune(spark), sf_dir)
+
+        QUERIES[name] = run
+        return run
 
     return register
 
@@ -383,12 +387,12 @@ def _feature_query(*names: str) -> Query:
 
 
 for _i, _name in enumerate(NUMERIC_FEATURES, 1):
-    QUERIES[f"fea{_i}_{_name}"] = _feature_query(_name)
-QUERIES["fea9_14_flags"] = _feature_query(*FLAG_FEATURES[:6])
-QUERIES["fea15_is_syn_only"] = _feature_query("is_syn_only")
-QUERIES["fea16_18_src_port_bands"] = _feature_query(*FLAG_FEATURES[7:10])
-QUERIES["fea19_21_dst_port_bands"] = _feature_query(*FLAG_FEATURES[10:13])
-QUERIES["fea22_24_protocols"] = _feature_query(*FLAG_FEATURES[13:])
+    query(f"fea{_i}_{_name}")(_feature_query(_name))
+query("fea9_14_flags")(_feature_query(*FLAG_FEATURES[:6]))
+query("fea15_is_syn_only")(_feature_query("is_syn_only"))
+query("fea16_18_src_port_bands")(_feature_query(*FLAG_FEATURES[7:10]))
+query("fea19_21_dst_port_bands")(_feature_query(*FLAG_FEATURES[10:13]))
+query("fea22_24_protocols")(_feature_query(*FLAG_FEATURES[13:]))
 
 
 @query("fea_all_features")

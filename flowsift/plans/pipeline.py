@@ -62,9 +62,14 @@ def alerts_for(
     return create_alerts(explain_scored(model, flagged, key=key), run_date, use_label=use_label, key=key)
 
 
-def prepare(flows: DataFrame) -> DataFrame:
-    """Cleaned flows with a unique key."""
-    return with_row_key(validate_and_clean(flows))
+def prepare(flows: DataFrame, unique_ids: bool = False) -> DataFrame:
+    """Cleaned flows with a unique key.
+
+    ``unique_ids=True`` states that ``flow_id`` is unique (as ids from the
+    converters are) and saves the shuffle of all ids that checks it.
+    """
+    clean = validate_and_clean(flows)
+    return clean.withColumn(KEY, F.col("flow_id")) if unique_ids else with_row_key(clean, name=KEY)
 
 
 @dataclass

@@ -27,6 +27,11 @@ def _by_class(cases: dict[int, Column], otherwise: Column | None = None) -> Colu
     return expr if otherwise is None else expr.otherwise(otherwise)
 
 
+def _per_class(values: list[int]) -> Column:
+    """One number per class code, as a lookup in a constant array."""
+    return F.element_at(F.array(*[F.lit(v).cast("bigint") for v in values]), F.col("a") + 1)
+
+
 def _text(*parts) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
 
@@ -43,15 +48,14 @@ def stored_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _VIEWS:
-        # The given file is a single row group, read by one task; spread the rows
-        # so that later scans use every core.
-        view = VIEWS[name](spark, sf_dir).repartition(spark.sparkContext.defaultParallelism)
-        _VIEWS[key] = materialize(view, name)
+        _VIEWS[key] = materialize(VIEWS[name](spark, sf_dir), name)
     return _VIEWS[key]
 
 
 def _keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+    # A single small row group would be read and expanded by one task.
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    base = lines.repartition(spark.sparkContext.defaultParallelism).select(
         F.col("l_orderkey").alias("k"),
         F.col("l_partkey").alias("p"),
         F.col("l_suppkey").alias("s"),
@@ -76,45 +80,21 @@ def _keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _with_flow_columns(keyed: DataFrame) -> DataFrame:
     k, p, s, n, e, q = (F.col(x) for x in "kpsneq")
-    packets = _by_class(
-        {
-            0: 60 + e % 390,
-            1: 4 + 2 * (e % 3),
-            2: 1 + e % 2,
-            3: 3000 + e % 22000,
-            4: 22 + e % 12,
-            5: 6 + (e + q * 7) % 120,
-            6: F.when(e % 20 < 17, F.lit(2)).otherwise(F.lit(4)),
-            7: 10 + (e + q * 11) % 270,
-        },
-        F.lit(2),
+    # Numbers per class code 0..9; class 6 (DNS) has rules of its own.
+    dns = F.col("a") == 6
+    packets = F.when(dns, F.when(e % 20 < 17, 2).otherwise(4)).otherwise(
+        _per_class([60, 4, 1, 3000, 22, 6, 0, 10, 2, 2])
+        + _per_class([1, 2, 1, 1, 1, 1, 0, 1, 0, 0])
+        * ((e + q * _per_class([0, 0, 0, 0, 0, 7, 0, 11, 0, 0])) % _per_class([390, 3, 2, 22000, 12, 120, 1, 270, 1, 1]))
     ).cast("bigint")
     pk = F.col("packet_count")
-    per_packet = _by_class(
-        {
-            0: 550 + e % 550,
-            1: F.lit(64),
-            2: F.lit(44),
-            3: F.lit(54),
-            4: 90 + e % 40,
-            5: 500 + e % 500,
-            7: 700 + e % 400,
-        }
+    size = F.when(dns, 120 + e % 400).otherwise(
+        pk * (_per_class([550, 64, 44, 54, 90, 500, 0, 700, 48, 64]) + e % _per_class([550, 1, 1, 1, 40, 500, 1, 400, 1, 1]))
+    ).cast("bigint")
+    millis = (
+        _per_class([1500, 40, 1, 50, 800, 50, 2, 200, 1, 1])
+        + e % _per_class([10500, 110, 4, 1150, 1400, 8000, 58, 12000, 19, 19])
     ).cast("bigint")
-    size = _by_class({6: 120 + e % 400, 8: F.lit(96), 9: F.lit(128)}, pk * per_packet).cast("bigint")
-    millis = _by_class(
-        {
-            0: 1500 + e % 10500,
-            1: 40 + e % 110,
-            2: 1 + e % 4,
-            3: 50 + e % 1150,
-            4: 800 + e % 1400,
-            5: 50 + e % 8000,
-            6: 2 + e % 58,
-            7: 200 + e % 12000,
-        },
-        1 + e % 19,
-    )
     dst_port = _by_class(
         {
             0: F.lit(53),
