@@ -31,7 +31,8 @@ from flowsift.operators.features import feature_vector
 from flowsift.operators.forest import IsolationForest
 from flowsift.schema import FEATURES
 
-_CHUNK = 512
+# Rows per step: the working arrays of one tree then stay in the processor cache.
+_CHUNK = 256
 
 
 def _compile_tree(tree: pd.DataFrame) -> dict | None:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowsift.storage import materialize
+
 # Copies of one row that a single task writes out.
 COPIES_PER_TASK = 100_000
 
@@ -56,14 +58,20 @@ def has_repeated_key(df: DataFrame, key: str) -> bool:
     return not repeated.isEmpty()
 
 
+def extended_key(df: DataFrame, key: str = "flow_id", name: str = "row_key") -> DataFrame:
+    """Add ``name``: the key, the content hash and the copy number; unique, no row is dropped."""
+    cols = df.columns
+    full = F.concat_ws("#", F.coalesce(F.col(key), F.lit("")), content_hash(cols), F.col("copy_no").cast("string"))
+    return number_copies(df).select(*cols, full.alias(name))
+
+
 def with_row_key(df: DataFrame, key: str = "flow_id", name: str = "row_key") -> DataFrame:
-    """Add a unique ``row_key``: the key itself, or the key made unique.
+    """Add a unique ``name``: the key itself, or the key made unique.
 
-    Cleaning does not check that flow ids are unique. If they are not, the
-    content hash and the copy number are appended; no row is dropped.
+    Cleaning does not check that flow ids are unique. If they are not, the key is
+    extended and the result stored, so that later passes do not number the
+    copies again.
     """
     if not has_repeated_key(df, key):
         return df.withColumn(name, F.col(key))
-    cols = df.columns
-    full = F.concat_ws("#", F.coalesce(F.col(key), F.lit("")), content_hash(cols), F.col("copy_no").cast("string"))
-    return number_copies(df).select(*cols, full.alias(name))
+    return materialize(extended_key(df, key, name), "keyed-flows")

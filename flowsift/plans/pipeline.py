@@ -33,9 +33,8 @@ def train_model(
     ``baseline`` is cleaned and has a unique ``row_key``.
     """
     scaler = FlowScaler(scaler_type).fit(baseline)
-    forest = IsolationForest(config).fit(scaler.transform(baseline, keep=[KEY]), key=KEY)
-    forest.calibrate_threshold_by_fpr(target_fpr=target_fpr)
-    return FlowModel(scaler, forest)
+    features = scaler.transform(baseline, keep=[KEY])
+    return FlowModel(scaler, IsolationForest(config).fit(features, key=KEY, quantile=1.0 - target_fpr))
 
 
 def score_flows(model: FlowModel, flows: DataFrame, threshold: float | None = None) -> DataFrame:

@@ -60,7 +60,10 @@ def write_flows_csv(df: DataFrame, path: str) -> str:
 def write_flows_parquet(df: DataFrame, path: str, partition_by_date: bool = False) -> str:
     """Flow table as Parquet, by day of ``timestamp`` if wanted."""
     if partition_by_date:
-        df.withColumn("event_date", F.substring("timestamp", 1, 10)).write.partitionBy("event_date").parquet(path)
+        # Rebalancing gathers the rows of a day before writing and splits days that
+        # are too large for one file, so neither tiny files nor one huge task arise.
+        dated = df.withColumn("event_date", F.substring("timestamp", 1, 10)).hint("rebalance", "event_date")
+        dated.write.partitionBy("event_date").parquet(path)
     else:
         df.write.parquet(path)
     return path
