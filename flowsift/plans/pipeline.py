@@ -91,13 +91,14 @@ def run_pipeline(
     max_alerts: int | None = 50,
     run_date: dt.date | None = None,
     output_dir: str | None = None,
+    unique_ids: bool = False,
 ) -> PipelineResult:
     """All stages. ``max_alerts=None`` makes an alert of every flagged flow.
 
     The scored evaluation table is written once; every later stage reads it.
     """
-    model = train_model(prepare(baseline), config, target_fpr)
-    scored = materialize(score_flows(model, prepare(evaluation)), "scored-flows")
+    model = train_model(prepare(baseline, unique_ids), config, target_fpr)
+    scored = materialize(score_flows(model, prepare(evaluation, unique_ids)), "scored-flows")
     threshold = model.forest.threshold
 
     explainer = FlowExplainer(model.forest)

@@ -141,6 +141,16 @@ def test_ids_are_unique_and_repeatable_with_hot_copies(spark):
     assert hot_numbers == list(range(1000))
 
 
+def test_position_ids_need_no_shuffle(spark):
+    raw = table(spark, *[CIDDS] * 50).repartition(4)
+    stored = spark.createDataFrame(raw.collect(), raw.schema)
+    converted = convert_cidds(stored, ids="position")
+    assert len({r["flow_id"] for r in converted.collect()}) == 50
+    assert "Exchange" not in converted._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(ValueError, match="content"):
+        convert_cidds(stored, ids="random")
+
+
 def test_row_key_only_changes_repeated_ids(make_flows):
     unique = make_flows({"flow_id": "A"}, {"flow_id": "B"})
     assert {r["row_key"] for r in with_row_key(unique).collect()} == {"A", "B"}
