@@ -16,9 +16,14 @@ BYTE_SUFFIXES = {"M": 1_000_000.0, "K": 1_000.0}
 _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
+def strip(text: Column) -> Column:
+    """Without white space at both ends, tabs and line ends included."""
+    return F.btrim(text.cast("string"), F.lit(" \t\n\r\x0b\x0c"))
+
+
 def to_number(text: Column) -> Column:
     """Double value of a text, null if it is no plain number."""
-    clean = F.trim(text.cast("string"))
+    clean = strip(text)
     return F.when(clean.rlike(_NUMBER), clean.try_cast("double"))
 
 
@@ -33,7 +38,7 @@ def parse_byte_size(text: Column) -> Column:
     The product is taken in double and then cut, so ``1.001 K`` may lose one
     byte exactly as binary arithmetic does.
     """
-    clean = F.upper(F.trim(text.cast("string")))
+    clean = F.upper(strip(text))
     suffix = F.right(clean, F.lit(1))
     body = to_number(F.substring(clean, F.lit(1), F.length(clean) - 1))
     value = to_number(clean)
@@ -54,7 +59,7 @@ def parse_letter_flags(text: Column) -> Column:
     Six or more characters are read by position; a shorter text sets every flag
     whose first letter occurs anywhere in it.
     """
-    clean = F.trim(text)
+    clean = strip(text)
     upper = F.upper(clean)
     by_position = [
         F.when(F.substring(clean, i + 1, 1).isin(name[0], "1"), F.lit(name)) for i, name in enumerate(CIDDS_FLAGS)

@@ -12,6 +12,7 @@ from flowsift.functions.parsing import (
     parse_byte_size,
     parse_letter_flags,
     protocol_name,
+    strip,
     to_number,
     to_whole,
 )
@@ -112,13 +113,13 @@ def normalise_headers(df: DataFrame, headers: dict[str, list[str]]) -> DataFrame
 
 def cidds_label(raw: Column, labels: dict[str, str] = CIDDS_LABELS) -> Column:
     """Archetype of an attack type: lower-cased key, exact key, else benign."""
-    key = F.trim(raw)
+    key = strip(raw)
     return F.coalesce(lookup(labels, F.lower(key)), lookup(labels, key), F.lit(BENIGN))
 
 
 def cic_label(raw: Column, labels: dict[str, str] = CIC_LABELS) -> Column:
     """Archetype of a CIC label, by map, then by the words ``port`` and ``dos``."""
-    key = F.lower(F.trim(raw))
+    key = F.lower(strip(raw))
     by_word = F.when(key.contains("port"), F.lit("port_scan")).when(key.contains("dos"), F.lit("syn_flood"))
     return F.coalesce(lookup(labels, key), by_word, F.lit(BENIGN))
 
@@ -138,6 +139,8 @@ def project_cidds(df: DataFrame, labels: dict[str, str] = CIDDS_LABELS) -> DataF
     if missing:
         raise LayoutError(f"CIDDS-001 layout needs columns for {missing}")
     has = set(raw.columns)
+    if dict(raw.dtypes).get("tcp_flags", "string") != "string":
+        has.discard("tcp_flags")  # only text carries flags
     cols = {
         "timestamp": F.col("timestamp").cast("string") if "timestamp" in has else F.lit(DEFAULT_TIMESTAMP),
         "flow_duration": F.coalesce(to_number(F.col("flow_duration")), F.lit(0.0)),

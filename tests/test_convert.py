@@ -81,6 +81,7 @@ def test_labels(spark):
     assert values(spark, raw, cidds_label) == [
         "benign", "port_scan", "port_scan", "port_scan", "benign", "ssh_brute_force", "benign", "syn_flood", "benign",
     ]
+    assert values(spark, ["\tdos\r\n"], cidds_label) == ["syn_flood"]
     raw = ["BENIGN", " DoS Hulk ", "Bot", "my port thing", "new dos", "Heartbleed", None]
     assert values(spark, raw, cic_label) == [
         "benign", "syn_flood", "c2_beacon", "port_scan", "syn_flood", "benign", "benign",
@@ -106,6 +107,14 @@ def test_cic_row(spark):
     assert row["tcp_flags"] == "SYN"  # a count of two does not set the flag
 
 
+def test_numeric_columns(spark):
+    typed = table(spark, CIDDS).withColumns(
+        {"Flags": F.lit(111111), "Bytes": F.lit(12345678.9), "Packets": F.lit(3), "Duration": F.lit(0.25)}
+    )
+    row = convert_cidds(typed).first()
+    assert (row["tcp_flags"], row["byte_count"], row["packet_count"], row["flow_duration"]) == ("NONE", 12345678, 3, 0.25)
+
+
 def test_case_only_duplicates_do_not_clash(spark):
     raw = table(spark, CIC).withColumn("x", F.lit("BENIGN"))
     raw = raw.toDF(*[*list(CIC), "label"])
