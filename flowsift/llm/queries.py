@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from flowsift.llm import exact_dedup, mixing
+from flowsift.llm import exact_dedup, mixing, token_counts
 from flowsift.llm.common import read_table
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE tokens of every document."""
+    return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact copies among all documents: which row of each group stays."""
     found = exact_dedup.find_duplicates(read_table(spark, sf_dir, "documents"))
@@ -64,6 +70,7 @@ FROM placed
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
     "op4_exact_dedup": op4_exact_dedup,
     "op9_mixing": op9_mixing,
 }
