@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from flowsift.llm import exact_dedup, mixing, token_counts
+from flowsift.llm import exact_dedup, mixing, quality_rules, token_counts
 from flowsift.llm.common import read_table
 
 
@@ -16,6 +16,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base statistics, log-likelihood ratio and verdict of every document."""
+    return quality_rules.judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact copies among all documents: which row of each group stays."""
     found = exact_dedup.find_duplicates(read_table(spark, sf_dir, "documents"))
@@ -71,6 +76,7 @@ FROM placed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_quality_rules": op2_quality_rules,
     "op4_exact_dedup": op4_exact_dedup,
     "op9_mixing": op9_mixing,
 }
