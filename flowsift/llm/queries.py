@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from flowsift.llm import exact_dedup, mixing, quality_rules, token_counts
+from flowsift.llm import exact_dedup, mixing, near_dedup, quality_rules, token_counts
 from flowsift.llm.common import read_table
 
 
@@ -21,6 +22,12 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose sets of 3-word shingles are similar by 85 % or more."""
+    found = near_dedup.find_groups(read_table(spark, sf_dir, "documents"), length=3, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact copies among all documents: which row of each group stays."""
     found = exact_dedup.find_duplicates(read_table(spark, sf_dir, "documents"))
@@ -77,6 +84,7 @@ FROM placed
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_quality_rules": op2_quality_rules,
+    "op3_near_dedup": op3_near_dedup,
     "op4_exact_dedup": op4_exact_dedup,
     "op9_mixing": op9_mixing,
 }
