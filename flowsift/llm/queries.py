@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowsift.llm import exact_dedup, mixing, near_dedup, quality_rules, token_counts
+from flowsift.llm import exact_dedup, html_text, mixing, near_dedup, quality_rules, token_counts
 from flowsift.llm.common import read_table
 
 
@@ -44,6 +44,11 @@ FROM d WINDOW g AS (PARTITION BY text_sha256)
 """
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes from every document."""
     taken = mixing.taken_per_document(read_table(spark, sf_dir, "documents"))
@@ -86,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_near_dedup": op3_near_dedup,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_html_extraction": op5_html_extraction,
     "op9_mixing": op9_mixing,
 }
 
