@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowsift.llm import exact_dedup, html_text, mixing, near_dedup, quality_rules, token_counts
+from flowsift.llm import exact_dedup, html_text, mixing, near_dedup, quality_rules, quality_votes, token_counts
 from flowsift.llm.common import read_table
 
 
@@ -49,6 +49,11 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(read_table(spark, sf_dir, "pages"))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document by its nearest labelled neighbours."""
+    return quality_votes.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes from every document."""
     taken = mixing.taken_per_document(read_table(spark, sf_dir, "documents"))
@@ -92,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_near_dedup": op3_near_dedup,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_html_extraction": op5_html_extraction,
+    "op7_quality_classifier": op7_quality_classifier,
     "op9_mixing": op9_mixing,
 }
 
