@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowsift.llm import exact_dedup, html_text, mixing, near_dedup, quality_rules, quality_votes, token_counts
+from flowsift.llm import exact_dedup, html_text, language_id, mixing, near_dedup, quality_rules, quality_votes, token_counts
 from flowsift.llm.common import read_table
 
 
@@ -54,6 +54,11 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_votes.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every page; texts are judged by what all labelled documents show."""
+    return language_id.identify(read_table(spark, sf_dir, "pages"), read_table(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes from every document."""
     taken = mixing.taken_per_document(read_table(spark, sf_dir, "documents"))
@@ -98,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_html_extraction": op5_html_extraction,
     "op7_quality_classifier": op7_quality_classifier,
+    "op8_language_id": op8_language_id,
     "op9_mixing": op9_mixing,
 }
 
