@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowsift.llm import exact_dedup, html_text, language_id, mixing, near_dedup, quality_rules, quality_votes, token_counts
+from flowsift.llm import exact_dedup, html_text, language_id, license_scan, mixing, near_dedup, quality_rules, quality_votes, token_counts
 from flowsift.llm.common import read_table
 
 
@@ -65,6 +65,11 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in documents, with matched coverage and spans."""
+    return license_scan.scan(read_table(spark, sf_dir, "documents"))
+
+
 # Sources that stop at their limit are found by repeated passes here, and what a
 # document gives by its place on its source's line.
 OP9_SQL = """
@@ -105,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality_classifier": op7_quality_classifier,
     "op8_language_id": op8_language_id,
     "op9_mixing": op9_mixing,
+    "op10_license_scan": op10_license_scan,
 }
 
 SQL: dict[str, str] = {
