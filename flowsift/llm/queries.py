@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowsift.llm import exact_dedup, html_text, language_id, license_scan, mixing, near_dedup, quality_rules, quality_votes, token_counts
+from flowsift.llm import exact_dedup, html_text, language_id, license_scan, mixing, near_dedup, quality_rules, quality_votes, sentence_pieces, token_counts
 from flowsift.llm.common import read_table
 
 
@@ -49,6 +49,13 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(read_table(spark, sf_dir, "pages"))
 
 
+def op6_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every document, a digest of their ids, and whether they decode to the text."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    docs = read_table(spark, sf_dir, "documents")
+    return sentence_pieces.checked(docs, model)
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document by its nearest labelled neighbours."""
     return quality_votes.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
@@ -107,6 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_near_dedup": op3_near_dedup,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_html_extraction": op5_html_extraction,
+    "op6_sentence_pieces": op6_sentence_pieces,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_language_id": op8_language_id,
     "op9_mixing": op9_mixing,
