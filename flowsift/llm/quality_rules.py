@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowsift.llm.common import let, packed, text_of, words_of
+from flowsift.llm.common import let, text_of, words_of
 
 BUCKETS = 32_768
 # Ids of trusted documents are broadcast, so their number has a bound: those first by
@@ -135,30 +135,33 @@ def mean_ratio(buckets: Column, ratios: np.ndarray) -> Column:
     return F.when(F.size(buckets) == 0, 0.0).otherwise(total / F.size(buckets))
 
 
-def _with_verdict(rows: DataFrame, text: Column, ratios: np.ndarray, threshold: float) -> DataFrame:
-    """Add the struct ``_q`` of all statistics to rows."""
-    rows = rows.withColumn("_text", text)
-    rows = rows.withColumn("_words", words_of(F.col("_text"))).withColumn("_hashes", _hashes(F.col("_words")))
-    stats = base_statistics(F.col("_text"), F.col("_words"), F.col("_hashes"))
-    score = let(_buckets(F.col("_hashes")), lambda b: mean_ratio(b, ratios))
-    rows = rows.withColumn("_q", F.struct(*[c.alias(n) for n, c in stats.items()], score.alias("llr")))
-    failed = (F.col("_q.n_words") < MIN_WORDS) | (
-        100 * F.col("_q.n_repeat_words") > MAX_REPEAT_PERCENT * F.col("_q.n_words")
-    )
-    rows = rows.withColumn("_failed", failed)
-    return rows.withColumn("_kept", ~F.col("_failed") & (F.col("_q.llr") >= threshold))
+def verdict(text: Column, ratios: np.ndarray, threshold: float) -> Column:
+    """Statistics, score and verdict of a text as one struct.
+
+    Words and hashes are bound inside the expression, so a filter on the verdict, which
+    the optimizer moves to the scan, does not multiply what they cost.
+    """
+
+    def of(words: Column, hashes: Column) -> Column:
+        stats = base_statistics(text, words, hashes)
+        score = let(_buckets(hashes), lambda b: mean_ratio(b, ratios))
+        return F.struct(*[c.alias(n) for n, c in stats.items()], score.alias("llr"))
+
+    def judged(q: Column) -> Column:
+        failed = (q["n_words"] < MIN_WORDS) | (100 * q["n_repeat_words"] > MAX_REPEAT_PERCENT * q["n_words"])
+        return q.withField("base_failed", failed).withField("kept", ~failed & (q["llr"] >= threshold))
+
+    return let(let(words_of(text), lambda w: let(_hashes(w), lambda h: of(w, h))), judged)
 
 
 def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document its statistics, score and verdict."""
     ratios = fit_ratios(docs, labels, id_col, text_col)
-    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text_of(f"`{text_col}`").alias("_in"))
-    rows = _with_verdict(rows, F.col("_in"), ratios, threshold)
-    return rows.select("doc_id", "_q.*", F.col("_failed").alias("base_failed"), F.col("_kept").alias("kept"))
+    judged = verdict(text_of(f"`{text_col}`"), ratios, threshold)
+    return docs.select(F.col(f"`{id_col}`").alias("doc_id"), judged.alias("q")).select("doc_id", "q.*")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that pass, with all their columns."""
     ratios = fit_ratios(docs, labels, id_col, text_col)
-    rows = _with_verdict(packed(docs), text_of(F.col(f"_row.`{text_col}`")), ratios, threshold)
-    return rows.where("_kept").select("_row.*")
+    return docs.where(verdict(text_of(f"`{text_col}`"), ratios, threshold)["kept"])
