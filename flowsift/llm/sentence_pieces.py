@@ -16,6 +16,12 @@ of later rank; words with such an edge take one pass per symbol.
 Words of more than ``FOLD_CHARS`` characters, of which a text can consist as a whole,
 are merged by heap and linked list in ``n log n`` instead.
 
+The relational form (``encode_by_join``) moves every occurrence of a word to the word's
+pieces and back, several times the size of the input. ``encode`` therefore looks words
+up and merges them inside the task that reads the document, with a bounded memory of
+words seen; it gives the same ids, shuffles nothing, and is what the query and the
+pipeline use. ``encode_words`` gives the pieces of a vocabulary.
+
 Edge cases: a null or empty text has no pieces. Characters without a piece become one
 piece per byte. The space mark itself decodes to a space, as in the library. Repeated
 rows get equal results; an empty table gives none; other columns are not looked at.
@@ -38,6 +44,8 @@ from flowsift.storage import materialize
 
 MARK = "▁"
 FOLD_CHARS = 60
+# Words whose pieces a task remembers; when full it forgets all.
+MEMO = 200_000
 # Piece types of the model format, and the id of byte 0.
 NORMAL, BYTE = 1, 6
 WORDS = rf"[\n\t\r]|{MARK}*[^{MARK}\n\t\r]+|{MARK}+"
@@ -244,8 +252,11 @@ def _merge_udf(path: str):
     return merge
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``row_no, doc_id, ids`` of every document. ``docs`` must be a stored table."""
+def encode_by_join(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``row_no, doc_id, ids`` of every document, relationally. ``docs`` must be a stored table.
+
+    Every occurrence of a word is shuffled twice: to the word's pieces and back.
+    """
     rows = numbered(docs, "_row_no").select(
         F.col("_row_no").alias("row_no"), F.col(f"`{id_col}`").alias("doc_id"), words_in(text_of(f"`{text_col}`")).alias("words")
     )
@@ -257,6 +268,39 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     return whole.select("row_no", "doc_id", F.coalesce(F.flatten(F.transform("parts", lambda p: p["ids"])), none).alias("ids"))
 
 
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, ids`` of every document, and its text, without a shuffle."""
+    text = text_of(f"`{text_col}`")
+    return docs.select(F.col(f"`{id_col}`").alias("doc_id"), text.alias("text"), _folded_udf(path)(text).alias("ids"))
+
+
+def _folded_udf(path: str):
+    @F.pandas_udf("array<int>")
+    def fold(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        t = PieceTable(path)
+        known: dict[str, list[int]] = {}
+        words = re.compile(WORDS)
+
+        def ids_of(word: str) -> list[int]:
+            ids = known.get(word)
+            if ids is None:
+                ids = t.word_ids(word)
+                if len(known) >= MEMO:
+                    known.clear()
+                if len(word) <= FOLD_CHARS:
+                    known[word] = ids
+            return ids
+
+        for texts in batches:
+            out = []
+            for text in texts:
+                marked = MARK + text.replace(" ", MARK) if text else ""
+                out.append([k for word in words.findall(marked) for k in ids_of(word)])
+            yield pd.Series(out, dtype=object)
+
+    return fold
+
+
 def decode(ids: Column, path: str) -> Column:
     """The texts of piece sequences."""
 
@@ -264,7 +308,7 @@ def decode(ids: Column, path: str) -> Column:
     def text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         t = PieceTable(path)
         for rows in batches:
-            yield pd.Series([t.decode(r.tolist()) for r in rows], dtype=object)
+            yield pd.Series([t.decode(list(r)) for r in rows], dtype=object)
 
     return text(ids)
 
@@ -275,13 +319,9 @@ def checked(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     The model has one mark for spaces, so a mark in the text comes back as a space.
     """
     encoded = encode(docs, path, id_col, text_col)
-    texts = numbered(docs, "_row_no").select(
-        F.col("_row_no").alias("row_no"), F.replace(text_of(f"`{text_col}`"), F.lit(MARK), F.lit(" ")).alias("text")
-    )
-    both = encoded.join(texts, "row_no")
-    return both.select(
+    return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_pieces"),
         F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
-        (decode(F.col("ids"), path) == F.col("text")).alias("round_trip"),
+        (decode(F.col("ids"), path) == F.replace(F.col("text"), F.lit(MARK), F.lit(" "))).alias("round_trip"),
     )

@@ -22,14 +22,15 @@ def test_ids_equal_the_library_and_decode(spark, stored):
     all_texts = texts()
     rows = [(k, t, "en", "s") for k, t in enumerate(all_texts)] + [(None, None, None, None), (3, all_texts[3], "en", "s")]
     docs = stored(rows)
-    got = s.encode(docs, PATH).withColumn("back", s.decode(F.col("ids"), PATH)).collect()
-    assert len(got) == len(rows)
-    for r in got:
-        text = all_texts[r.doc_id] if r.doc_id is not None else ""
-        assert list(r.ids) == library.encode(text)
-        assert r.back == library.decode(library.encode(text)) == text.replace("▁", " ")
+    for encode in (s.encode, s.encode_by_join):
+        got = encode(docs, PATH).withColumn("back", s.decode(F.col("ids"), PATH)).collect()
+        assert len(got) == len(rows)
+        for r in got:
+            text = all_texts[r.doc_id] if r.doc_id is not None else ""
+            assert list(r.ids) == library.encode(text)
+            assert r.back == library.decode(library.encode(text)) == text.replace("▁", " ")
     assert all(r.round_trip for r in s.checked(docs, PATH).collect())
-    assert s.encode(stored([]), PATH).count() == 0
+    assert s.encode(stored([]), PATH).count() == 0 and s.encode_by_join(stored([]), PATH).count() == 0
 
 
 def test_words_hold_the_whole_text():
