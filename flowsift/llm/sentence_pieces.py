@@ -29,12 +29,15 @@ rows get equal results; an empty table gives none; other columns are not looked
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import re
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterator
+from functools import cached_property, lru_cache
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2 as model_pb
@@ -44,8 +47,10 @@ from flowsift.storage import materialize
 
 MARK = "▁"
 FOLD_CHARS = 60
-# Words whose pieces a task remembers; when full it forgets all.
+SCAN_CHARS = 24
 MEMO = 200_000
+# Documents of a task that are held as ids at a time.
+ROWS = 500
 # Piece types of the model format, and the id of byte 0.
 NORMAL, BYTE = 1, 6
 WORDS = rf"[\n\t\r]|{MARK}*[^{MARK}\n\t\r]+|{MARK}+"
@@ -60,10 +65,18 @@ class PieceTable:
             proto.ParseFromString(f.read())
         self.is_bpe = proto.trainer_spec.model_type == model_pb.TrainerSpec.BPE
         self.pieces = {p.piece: (-p.score, k) for k, p in enumerate(proto.pieces) if p.type == NORMAL}
-        self.names = [p.piece for p in proto.pieces]
+        self.ranks = {p: r for p, (r, _) in self.pieces.items()}
         self.bytes = {int(p.piece[3:5], 16): k for k, p in enumerate(proto.pieces) if p.type == BYTE}
+        # Byte pieces as characters that UTF-8 turns back into the byte.
+        self.names = [p.piece.replace(MARK, " ") for p in proto.pieces]
+        for b, k in self.bytes.items():
+            self.names[k] = chr(b) if b < 128 else chr(0xDC00 + b)
         self.longest = max(map(len, self.pieces))
-        self.late = {p for p in self.pieces if self._is_late(p)}
+
+    @cached_property
+    def late(self) -> set[str]:
+        """Pieces that pieces of later rank can make."""
+        return {p for p in self.pieces if self._is_late(p)}
 
     def _is_late(self, piece: str) -> bool:
         """Whether two pieces of later rank can make it."""
@@ -82,6 +95,27 @@ class PieceTable:
 
     def symbols(self, word: str) -> list[str]:
         """Pieces of a word by merging the best-ranked neighbours, leftmost first."""
+        return self._scanned(word) if len(word) <= SCAN_CHARS else self._heaped(word)
+
+    def _scanned(self, word: str) -> list[str]:
+        """For short words: look at all neighbours before each merge."""
+        parts, ranks, none = list(word), self.ranks, float("inf")
+        costs = [ranks.get(a + b, none) for a, b in zip(parts, parts[1:], strict=False)]
+        while costs:
+            best = min(costs)
+            if best == none:
+                break
+            i = costs.index(best)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del costs[i]
+            if i:
+                costs[i - 1] = ranks.get(parts[i - 1] + parts[i], none)
+            if i < len(costs):
+                costs[i] = ranks.get(parts[i] + parts[i + 1], none)
+        return parts
+
+    def _heaped(self, word: str) -> list[str]:
+        """The same in ``n log n``."""
         parts, n = list(word), len(word)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap: list[tuple[float, int, str]] = []
@@ -118,21 +152,30 @@ class PieceTable:
 
     def decode(self, ids: list[int]) -> str:
         """The text of a piece sequence, without the space in front."""
-        out, raw = [], bytearray()
-        back = {k: b for b, k in self.bytes.items()}
-        for k in [*ids, None]:
-            if k in back:
-                raw.append(back[k])
-                continue
-            if raw:
-                out.append(raw.decode("utf-8", "replace"))
-                raw.clear()
-            if k is not None:
-                out.append(self.names[k])
-        text = "".join(out).replace(MARK, " ")
+        text = "".join(map(self.names.__getitem__, ids)).encode("utf-8", "surrogateescape").decode("utf-8", "replace")
         return text[1:] if text.startswith(" ") else text
 
 
+class _Memo(dict):
+    """Ids of words seen by a task, as 32-bit numbers in bytes; when full it forgets all."""
+
+    def __init__(self, table: PieceTable):
+        self.table = table
+        self.words = re.compile(WORDS)
+
+    def __missing__(self, word: str) -> bytes:
+        ids = np.array(self.table.word_ids(word), np.int32).tobytes()
+        if len(word) <= FOLD_CHARS:
+            if len(self) >= MEMO:
+                self.clear()
+            self[word] = ids
+        return ids
+
+    def encode(self, text: str) -> bytes:
+        marked = MARK + text.replace(" ", MARK) if text else ""
+        return b"".join(map(self.__getitem__, self.words.findall(marked)))
+
+
 @lru_cache(2)
 def table(path: str) -> PieceTable:
     return PieceTable(path)
@@ -268,37 +311,30 @@ def encode_by_join(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     return whole.select("row_no", "doc_id", F.coalesce(F.flatten(F.transform("parts", lambda p: p["ids"])), none).alias("ids"))
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, ids`` of every document, and its text, without a shuffle."""
-    text = text_of(f"`{text_col}`")
-    return docs.select(F.col(f"`{id_col}`").alias("doc_id"), text.alias("text"), _folded_udf(path)(text).alias("ids"))
+def _in_task(docs: DataFrame, path: str, fields: str, columns: Callable, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id`` and the columns that ``columns(memo, texts)`` makes, a few rows at a time."""
+    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text_of(f"`{text_col}`").alias("text"))
 
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo = _Memo(PieceTable(path))
+        for batch in batches:
+            for k in range(0, batch.num_rows, ROWS):
+                part = batch.slice(k, ROWS)
+                made = columns(memo, part.column(1).to_pylist())
+                yield pa.RecordBatch.from_arrays([part.column(0), *made.values()], ["doc_id", *made])
+
+    return rows.mapInArrow(work, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {fields}")
 
-def _folded_udf(path: str):
-    @F.pandas_udf("array<int>")
-    def fold(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        t = PieceTable(path)
-        known: dict[str, list[int]] = {}
-        words = re.compile(WORDS)
 
-        def ids_of(word: str) -> list[int]:
-            ids = known.get(word)
-            if ids is None:
-                ids = t.word_ids(word)
-                if len(known) >= MEMO:
-                    known.clear()
-                if len(word) <= FOLD_CHARS:
-                    known[word] = ids
-            return ids
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, ids`` of every document, without a shuffle."""
 
-        for texts in batches:
-            out = []
-            for text in texts:
-                marked = MARK + text.replace(" ", MARK) if text else ""
-                out.append([k for word in words.findall(marked) for k in ids_of(word)])
-            yield pd.Series(out, dtype=object)
+    def columns(memo: _Memo, texts: list[str]) -> dict[str, pa.Array]:
+        found = [memo.encode(t) for t in texts]
+        ends = np.cumsum([0, *(len(x) // 4 for x in found)], dtype=np.int32)
+        return {"ids": pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(found), np.int32)))}
 
-    return fold
+    return _in_task(docs, path, "ids array<int>", columns, id_col, text_col)
 
 
 def decode(ids: Column, path: str) -> Column:
@@ -314,14 +350,19 @@ def decode(ids: Column, path: str) -> Column:
 
 
 def checked(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: ``n_pieces``, the SHA-256 of its ids and whether decoding gives the text.
+    """Per document: ``n_pieces``, a digest of its ids and whether decoding gives the text.
 
-    The model has one mark for spaces, so a mark in the text comes back as a space.
+    The digest is the SHA-256 of the ids as little-endian 32-bit numbers. The model has
+    one mark for spaces, so a mark in the text comes back as a space.
     """
-    encoded = encode(docs, path, id_col, text_col)
-    return encoded.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_pieces"),
-        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
-        (decode(F.col("ids"), path) == F.replace(F.col("text"), F.lit(MARK), F.lit(" "))).alias("round_trip"),
-    )
+
+    def columns(memo: _Memo, texts: list[str]) -> dict[str, pa.Array]:
+        found = [memo.encode(t) for t in texts]
+        back = [memo.table.decode(np.frombuffer(x, "<i4").tolist()) for x in found]
+        return {
+            "n_pieces": pa.array([len(x) // 4 for x in found], pa.int64()),
+            "ids_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in found], pa.string()),
+            "round_trip": pa.array([b == t.replace(MARK, " ") for b, t in zip(back, texts, strict=True)], pa.bool_()),
+        }
+
+    return _in_task(docs, path, "n_pieces bigint, ids_sha256 string, round_trip boolean", columns, id_col, text_col)
