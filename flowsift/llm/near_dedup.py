@@ -10,16 +10,18 @@ distinct numbers are its set, the ``SKETCH`` smallest its sketch.
    order of list length. A set that shares too few values altogether has no partner
    and goes. Passages that thousands of documents share come last in this order, so
    their lists matter only to documents that consist of little else.
-3. For the sets left, the shingles that no other candidate has are counted. They
-   bound the similarity of any pair from above (``_possible``).
+3. For the sets left, the shingles that no other candidate has are counted. A set
+   with too many of them has no partner and goes.
 4. Each list has a hub, the member with the smallest share of such shingles. All
-   members are compared with the hub of their lists. What is linked to it is one
-   component, whatever the size of the group, after one comparison per member.
-5. Members outside the hub's component are compared with those of other components of
-   their list for which the bound allows a link, in the first list both share.
-   Steps 4 and 5 together miss no link between different components.
-6. A pair passes the estimate from the sketch of the union and then the exact count on
-   full sets. Components of the links are the groups.
+   members are compared with the hub of their lists on full sets. What is linked to it
+   is one component, whatever the size of the group, after one comparison per member.
+5. What a member shares with the hub, and what it shares with nobody, bound its
+   similarity to any other member from above (``_possible``). Members outside the hub's
+   component are compared with those of other components of their list for which the
+   bound allows a link, in the first list both share. Steps 4 and 5 together miss no
+   link between different components.
+6. Such a pair passes the estimate from the sketch of the union and then the exact
+   count on full sets. Components of the links are the groups.
 
 No list is cut and no pair of one component is made again.
 
@@ -91,9 +93,15 @@ def _lookup(values: list[int], index: Column) -> Column:
 
 
 def _possible(percent: int, a: str, b: str) -> Column:
-    """Whether sets of ``n`` shingles, ``u`` of them unshared, can be similar enough."""
-    both = F.least(F.col(f"{a}.n") - F.col(f"{a}.u"), F.col(f"{b}.n") - F.col(f"{b}.u"))
-    return 100 * both >= percent * (F.col(f"{a}.n") + F.col(f"{b}.n") - both)
+    """Whether two members of a list can be similar enough.
+
+    Of their ``n`` shingles ``c`` are the hub's and ``u`` nobody else's. What both have
+    is at most the smaller ``c`` and, outside the hub, the smaller rest.
+    """
+    of = lambda t, x: F.col(f"{t}.{x}")
+    rest = lambda t: of(t, "n") - of(t, "c") - of(t, "u")
+    both = F.least(of(a, "c"), of(b, "c")) + F.least(rest(a), rest(b))
+    return 100 * both >= percent * (of(a, "n") + of(b, "n") - both)
 
 
 def _lists(reps: DataFrame, sketch: int, percent: int) -> DataFrame:
@@ -116,11 +124,18 @@ def _verified(pairs: DataFrame, sets: DataFrame, sketch: int, percent: int) -> D
     p = p.withColumn("union", union).where(
         F.size(F.array_intersect("union", F.array_intersect("sa", "sb"))) >= _lookup(low, F.size("union"))
     )
-    p = materialize(p.select("a", "b"), "estimated")
+    return _similar(_counted(materialize(p.select("a", "b"), "estimated"), sets), percent)
+
+
+def _counted(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs with the sum of their set sizes and the exact size of the intersection."""
     full = sets.select("node", "items")
-    p = p.join(full.toDF("a", "ia"), "a").join(full.toDF("b", "ib"), "b")
-    p = p.select("a", "b", (F.size("ia") + F.size("ib")).alias("both"), F.size(F.array_intersect("ia", "ib")).alias("common"))
-    return p.where(100 * F.col("common") >= percent * (F.col("both") - F.col("common"))).select("a", "b")
+    p = pairs.join(full.toDF("a", "ia"), "a").join(full.toDF("b", "ib"), "b")
+    return p.select("a", "b", (F.size("ia") + F.size("ib")).alias("both"), F.size(F.array_intersect("ia", "ib")).alias("common"))
+
+
+def _similar(counted: DataFrame, percent: int) -> DataFrame:
+    return counted.where(100 * F.col("common") >= percent * (F.col("both") - F.col("common"))).select("a", "b")
 
 
 def _links(docs: DataFrame, reps: DataFrame, text_col: str, length: int, percent: int, sketch: int) -> DataFrame:
@@ -139,22 +154,21 @@ def _links(docs: DataFrame, reps: DataFrame, text_col: str, length: int, percent
     alone = alone.groupBy("node").agg(F.count("*").alias("u"))
     known = lists.join(sets.select("node"), "node").join(alone, "node", "left").withColumn("u", F.coalesce("u", F.lit(0)))
     known = known.where(100 * (F.col("n") - F.col("u")) >= percent * F.col("n"))
-    member = F.struct((F.col("u") / F.col("n")).alias("share"), F.col("node"))
+    share = F.col("u") / F.col("n")
+    member = F.struct(share.alias("share"), F.col("node"))
     members = known.select("node", "n", "u", "keys", F.explode("keys").alias("v"))
     hubs = members.groupBy("v").agg(F.min(member).alias("hub"), F.count("*").alias("c")).where("c > 1")
     members = materialize(members.join(hubs.select("v", F.col("hub.node").alias("hub")), "v"), "members")
 
-    info = materialize(members.select("node", "n", "u").distinct(), "candidate_sizes")
-    to_hub = members.where("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-    to_hub = to_hub.join(info.alias("x"), F.col("a") == F.col("x.node")).join(info.alias("y"), F.col("b") == F.col("y.node"))
-    to_hub = to_hub.where(_possible(percent, "x", "y")).select("a", "b")
-    first = materialize(_verified(to_hub, sets, sketch, percent), "hub_links")
+    to_hub = members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    counted = materialize(_counted(to_hub, sets), "hub_overlaps")
+    first = materialize(_similar(counted, percent), "hub_links")
+    overlap = counted.select(F.col("a").alias("hub"), F.col("b").alias("node"), F.col("common").alias("c"))
+    members = members.join(overlap, ["hub", "node"], "left").withColumn("c", F.coalesce("c", "n"))
+    members = materialize(members, "placed_members")
     labels = connected_components(first)
 
-    labelled = members.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    core = labels.select(F.col("node").alias("h"), F.col("comp").alias("core"))
-    labelled = labelled.join(core, F.col("hub") == F.col("h"), "left").withColumn("core", F.coalesce("core", "hub")).drop("h")
-    labelled = materialize(labelled, "labelled")
+    labelled = materialize(_labelled(members, labels), "labelled")
     left, right = labelled.where("comp <> core").alias("l"), labelled.alias("r")
     rest = left.join(right, F.col("l.v") == F.col("r.v")).where(
         (F.col("l.comp") != F.col("r.comp"))
@@ -171,6 +185,13 @@ def _links(docs: DataFrame, reps: DataFrame, text_col: str, length: int, percent
     return connected_components(first.unionByName(second))
 
 
+def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of lists with their component and that of the list's hub."""
+    out = members.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    core = labels.select(F.col("node").alias("h"), F.col("comp").alias("core"))
+    return out.join(core, F.col("hub") == F.col("h"), "left").withColumn("core", F.coalesce("core", "hub")).drop("h")
+
+
 def find_groups(docs: DataFrame, length: int = SHINGLE, percent: int = PERCENT, sketch: int = SKETCH,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``row_no, doc_id, n_shingles, component_id, keep_row``.

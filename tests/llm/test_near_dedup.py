@@ -79,12 +79,6 @@ def test_groups_equal_all_pairs(spark, stored, length, percent):
     check(stored([(i, t, "en", "s") for i, t in rows]), rows, length, percent)
 
 
-def test_further_rounds_find_what_the_first_hub_does_not(spark, stored, monkeypatch):
-    monkeypatch.setattr(n, "CENTRES", 0)
-    rows = crowd()
-    check(stored([(i, t, "en", "s") for i, t in rows]), rows, 3, 85)
-
-
 def test_given_documents(spark):
     docs = read_table(spark, SF, "documents")
     check(docs, [(r.doc_id, r.text) for r in docs.collect()], 3, 85)
