@@ -21,6 +21,7 @@ from flowsift.plans import catalog, pipeline
 from flowsift.schema import NUMERIC_FEATURES
 from flowsift.session import tune
 from flowsift.sources.derived import stored_view
+from flowsift.storage import release
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -89,6 +90,8 @@ def main() -> None:
         start = time.perf_counter()
         job()
         times[name] = round(time.perf_counter() - start, 3)
+    rows = flows.count()
+    release(spark)
     print(
         json.dumps(
             {
@@ -97,7 +100,7 @@ def main() -> None:
                 "unit": "sec",
                 "queries": times,
                 "sf": os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf"),
-                "rows": flows.count(),
+                "rows": rows,
                 "prepare_sec": round(prepared, 3),
             }
         )

@@ -44,6 +44,8 @@ def kpis(scored: DataFrame, threshold: float, with_labels: bool = True) -> DataF
 
 def preset_threshold(preset: str, calibrated: float) -> float:
     """Threshold of a named preset; ``calibrated`` rounds the fitted threshold to 2 places."""
+    if preset != "calibrated" and preset not in THRESHOLD_PRESETS:
+        raise ValueError(f"presets are calibrated, {', '.join(THRESHOLD_PRESETS)}; not {preset!r}")
     value = THRESHOLD_PRESETS.get(preset, round(calibrated, 2))
     low, high = THRESHOLD_RANGE
     return min(max(value, low), high)
@@ -154,7 +156,8 @@ def box_statistics(df: DataFrame, measures: list[str], group: str = "label") ->
         *[F.max(F.when(F.col("measure") == m, F.struct("low", "high"))).alias(f"__{m}") for m in measures]
     )
     # One row per group, at most MAX_GROUPS rows by the check in exact_quantiles.
-    joined = df.select(group, *measures).join(F.broadcast(pivoted), group)
+    fenced = F.broadcast(pivoted.withColumnRenamed(group, "__group"))
+    joined = df.select(group, *measures).join(fenced, F.col(group).eqNullSafe(F.col("__group")))
 
     def inside(m: str) -> Column:
         return F.when(F.col(m).between(F.col(f"__{m}.low"), F.col(f"__{m}.high")), F.col(m))
@@ -166,7 +169,9 @@ def box_statistics(df: DataFrame, measures: list[str], group: str = "label") ->
         ]
     )
     long = ends.select(group, F.explode(F.array(*measures)).alias("r")).select(group, "r.*")
-    return long.join(fences.drop("low", "high"), [group, "measure"])
+    known = fences.drop("low", "high").withColumnRenamed(group, "__group").withColumnRenamed("measure", "__measure")
+    same = F.col(group).eqNullSafe(F.col("__group")) & (F.col("measure") == F.col("__measure"))
+    return long.join(known, same).drop("__group", "__measure")
 
 
 def score_density(scored: DataFrame, bins: int = 50) -> DataFrame:

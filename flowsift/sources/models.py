@@ -40,9 +40,9 @@ def save_model(spark: SparkSession, model: FlowModel, path: str) -> str:
         model.scaler.scaler_type,
     )
     # Small bounded tables: one file each.
-    forest_table(spark, forest).coalesce(1).write.parquet(f"{path}/forest_nodes")
-    model.scaler.table(spark).coalesce(1).write.parquet(f"{path}/scaler")
-    spark.createDataFrame([meta], _META).coalesce(1).write.parquet(f"{path}/model_meta")
+    forest_table(spark, forest).coalesce(1).write.mode("overwrite").parquet(f"{path}/forest_nodes")
+    model.scaler.table(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/scaler")
+    spark.createDataFrame([meta], _META).coalesce(1).write.mode("overwrite").parquet(f"{path}/model_meta")
     return path
 
 
@@ -52,7 +52,7 @@ def load_model(spark: SparkSession, path: str) -> FlowModel:
         meta = spark.read.parquet(f"{path}/model_meta").first()
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
-            raise FileNotFoundError(f"Model checkpoint not found: {path}") from e
+            raise FileNotFoundError(f"no stored model at {path}") from e
         raise
     # Bounded: at most n_trees * (2 * sample_size - 1) nodes.
     nodes = spark.read.parquet(f"{path}/forest_nodes").toPandas()

@@ -27,7 +27,7 @@ def _existing(read, path: str) -> DataFrame:
         return read()
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
-            raise FileNotFoundError(f"File not found: {path}") from e
+            raise FileNotFoundError(f"nothing to read at {path}") from e
         raise
 
 
@@ -35,37 +35,40 @@ def read_flows_csv(spark: SparkSession, path: str, strict_ip: bool = False) -> D
     """Flow CSV with header, in any column order, validated and cleaned.
 
     Only the header is looked at to find the columns; the types are fixed, so
-    no pass over the data is spent on inference.
+    no pass over the data is spent on inference. Files of one folder must agree in
+    their column order: a header that differs fails the read. Whole numbers may be
+    written with a fraction (``1.0``), as tools do once a column has a gap.
     """
     text = _existing(lambda: spark.read.option("header", True).csv(path), path)
-    known = {f.name: f.dataType for f in RAW_FLOW_SCHEMA.fields}
+    known = {f.name: f.dataType for f in RAW_FLOW_SCHEMA.fields} | {c: T.DoubleType() for c in ("tos", "is_anomaly")}
     by_header = T.StructType([T.StructField(c, known.get(c, T.StringType())) for c in text.columns])
-    typed = spark.read.schema(by_header).option("header", True).csv(path)
-    return validate_and_clean(typed, strict_ip)
+    typed = spark.read.schema(by_header).option("header", True).option("enforceSchema", False).csv(path)
+    whole = {c: F.col(c).cast("int") for c in ("tos", "is_anomaly") if c in typed.columns}
+    return validate_and_clean(typed.withColumns(whole), strict_ip)
 
 
 def read_flows_parquet(spark: SparkSession, path: str, strict_ip: bool = False) -> DataFrame:
     return validate_and_clean(_existing(lambda: spark.read.parquet(path), path), strict_ip)
 
 
-def write_flows_csv(df: DataFrame, path: str) -> str:
-    """Flow table as a folder of CSV files with header.
+def write_flows_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
+    """Flow table as a folder of CSV files with header; a run that is repeated replaces its result.
 
     An empty text and a missing value stay apart.
     """
-    df.write.option("header", True).option("emptyValue", '""').csv(path)
+    df.write.mode(mode).option("header", True).option("emptyValue", '""').csv(path)
     return path
 
 
-def write_flows_parquet(df: DataFrame, path: str, partition_by_date: bool = False) -> str:
+def write_flows_parquet(df: DataFrame, path: str, partition_by_date: bool = False, mode: str = "overwrite") -> str:
     """Flow table as Parquet, by day of ``timestamp`` if wanted."""
     if partition_by_date:
         # Rebalancing gathers the rows of a day before writing and splits days that
         # are too large for one file, so neither tiny files nor one huge task arise.
         dated = df.withColumn("event_date", F.substring("timestamp", 1, 10)).hint("rebalance", "event_date")
-        dated.write.partitionBy("event_date").parquet(path)
+        dated.write.mode(mode).partitionBy("event_date").parquet(path)
     else:
-        df.write.parquet(path)
+        df.write.mode(mode).parquet(path)
     return path
 
 
@@ -74,9 +77,9 @@ def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     return _existing(lambda: spark.read.option("header", True).csv(path), path)
 
 
-def write_json(df: DataFrame, path: str) -> str:
+def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """Metrics or alerts as JSON Lines; nested fields and nulls are kept."""
-    df.write.option("ignoreNullFields", False).json(path)
+    df.write.mode(mode).option("ignoreNullFields", False).json(path)
     return path
 
 

@@ -1,34 +1,53 @@
-"""Where intermediate tables live."""
+"""Where intermediate tables live, and their removal."""
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 _KEY = "spark.checkpoint.dir"
 
 
+@lru_cache(1)
+def _own_folder() -> str:
+    """Folder of a local session without a shared one; it goes when the process ends."""
+    folder = tempfile.mkdtemp(prefix="flowsift-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder of the session.
 
     A cluster names it in ``spark.checkpoint.dir``. Only a local session without
-    that setting gets a temporary folder of its own.
+    that setting gets a temporary folder of its own; the setting is left as it is.
     """
     folder = spark.conf.get(_KEY, None)
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {_KEY} to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="flowsift-")
-    spark.conf.set(_KEY, folder)
-    return folder
+    return _own_folder()
+
+
+def _session_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/flowsift/{spark.sparkContext.applicationId}"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/flowsift/{name}-{uuid.uuid4().hex}"
+    return f"{_session_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Remove the intermediate tables of this application, once their readers are done."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_session_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

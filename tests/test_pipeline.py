@@ -53,6 +53,36 @@ def test_csv_round_trip_and_missing_file(spark, make_flows):
         read_flows_csv(spark, new_path(spark, "none"))
 
 
+def test_csv_files_must_agree_in_their_columns(spark, make_flows):
+    path = new_path(spark, "csv")
+    names = make_flows({}).columns
+    write_flows_csv(make_flows({}), path)
+    swapped = make_flows({"flow_id": "F-9"}).select(*reversed(names))
+    write_flows_csv(swapped, path, mode="append")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_flows_csv(spark, path).collect()
+
+
+def test_csv_whole_numbers_may_have_a_fraction(spark, make_flows):
+    path = new_path(spark, "csv")
+    odd = make_flows({"is_anomaly": 1, "tos": 4}, {"is_anomaly": None}).withColumns(
+        {c: F.col(c).cast("double") for c in ("tos", "is_anomaly")}
+    )
+    back = {r["flow_id"]: r for r in read_flows_csv(spark, write_flows_csv(odd, path)).collect()}
+    assert (back["F-0"]["is_anomaly"], back["F-0"]["tos"]) == (1, 4) and back["F-1"]["is_anomaly"] is None
+
+
+def test_box_statistics_keep_rows_without_group(spark):
+    rows = [("a", float(k)) for k in range(9)] + [(None, float(k)) for k in range(5)]
+    got = {r["label"]: r for r in reports.box_statistics(spark.createDataFrame(rows, "label string, x double"), ["x"]).collect()}
+    assert set(got) == {"a", None} and got[None]["n"] == 5 and got[None]["q50"] == 2.0
+
+
+def test_unknown_preset_is_refused():
+    with pytest.raises(ValueError, match="presets are"):
+        reports.preset_threshold("balance", 0.7)
+
+
 def test_csv_columns_may_be_reordered_and_extended(spark, make_flows):
     shuffled = make_flows({}).select(F.lit("x").alias("note"), *reversed(make_flows({}).columns))
     back = read_flows_csv(spark, write_flows_csv(shuffled, new_path(spark, "csv")))
