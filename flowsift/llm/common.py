@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowsift.storage import materialize
+
 # White space that separates words, as a class for Java and Python.
 SPACE = r"\x20\x09-\x0D"
 WORD = rf"[^{SPACE}]+"
@@ -40,15 +42,14 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def packed(df: DataFrame, name: str = "_row") -> DataFrame:
-    """All columns as one struct, so that added columns cannot clash with them."""
-    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(name))
-
-
-def numbered(df: DataFrame, name: str) -> DataFrame:
-    """Add a row number that is unique and, over a stored table, equal in every scan.
+def stored_rows(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written once with a row number, and the name of the number's column.
 
-    It follows the file splits, so it holds for tables read from files (what every
-    operator here takes) and not for the output of a shuffle.
+    Numbers are unique. They follow the file splits of the one scan that makes them, and
+    splits depend on the executors at hand, so another scan may number rows otherwise:
+    later steps read the written column.
     """
-    return df.withColumn(name, F.monotonically_increasing_id())
+    taken, column = {c.lower() for c in df.columns}, "_row_no"
+    while column in taken:
+        column = f"_{column}"
+    return materialize(df.withColumn(column, F.monotonically_increasing_id()), name), column

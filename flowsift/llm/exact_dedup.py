@@ -3,7 +3,8 @@
 The index is a Parquet table of digests, bucketed and sorted by digest. A batch is
 reduced to one row per digest, moved to the buckets of the index, compared with a
 sort-merge anti-join that reads the index where it lies, and the new digests are
-appended. Only digests and ids are shuffled, never texts.
+appended. Only digests and ids are shuffled, never texts. ``drop_duplicates`` writes its
+input once more, with the row numbers by which rows are dropped.
 
 Edge cases: a null text counts as empty, so all null and empty texts are copies of
 each other. Of equal texts the row with the largest id stays (a null id is the
@@ -20,7 +21,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowsift.llm.common import ascii_lower, numbered, packed, text_of
+from flowsift.llm.common import ascii_lower, stored_rows, text_of
 from flowsift.storage import materialize, new_path
 
 DIGEST = "text_sha256"
@@ -70,22 +71,26 @@ class DigestIndex:
         return marked
 
 
-def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``row_no``, ``doc_id`` and the SHA-256 of the text with A-Z lower-cased."""
-    return numbered(docs, "_row_no").select(
-        F.col("_row_no").alias("row_no"),
+def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
+    """``row_no``, ``doc_id`` and the SHA-256 of the text with A-Z lower-cased.
+
+    Without a column of row numbers they are made in this scan and hold for it only.
+    """
+    return docs.select(
+        (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row_no"),
         F.col(f"`{id_col}`").cast("long").alias("doc_id"),
         F.sha2(ascii_lower(text_of(f"`{text_col}`")), 256).alias(DIGEST),
     )
 
 
-def find_duplicates(docs: DataFrame, index: DigestIndex | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def find_duplicates(docs: DataFrame, index: DigestIndex | None = None, id_col: str = "doc_id", text_col: str = "text",
+                    row_col: str | None = None) -> DataFrame:
     """One row per document: its digest, the id that stays, the group's size and whether it stays.
 
     With an index of earlier batches, a digest known before keeps no row of this batch.
     """
     index = index or DigestIndex(docs.sparkSession)
-    rows = materialize(digests(docs, id_col, text_col), "row_digests")
+    rows = materialize(digests(docs, id_col, text_col, row_col), "row_digests")
     groups = rows.groupBy(DIGEST).agg(
         F.max(F.struct("doc_id", (-F.col("row_no")).alias("back"))).alias("top"),
         F.count("*").alias("group_size"),
@@ -105,7 +110,8 @@ def find_duplicates(docs: DataFrame, index: DigestIndex | None = None, id_col: s
 
 
 def drop_duplicates(docs: DataFrame, index: DigestIndex | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns. ``docs`` must be a stored table."""
-    dropped = find_duplicates(docs, index, id_col, text_col).where(~F.col("kept")).select("row_no")
-    rows = numbered(packed(docs), "_row_no")
-    return rows.join(materialize(dropped, "dropped_rows"), F.col("_row_no") == F.col("row_no"), "left_anti").select("_row.*")
+    """The rows that stay, with all their columns."""
+    rows, row_no = stored_rows(docs, "dedup_rows")
+    found = find_duplicates(rows, index, id_col, text_col, row_no)
+    dropped = materialize(found.where(~F.col("kept")).select(F.col("row_no").alias(row_no)), "dropped_rows")
+    return rows.join(dropped, row_no, "left_anti").drop(row_no)

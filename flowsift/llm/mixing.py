@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowsift.llm.common import SPACE, numbered, packed, text_of, words_of
+from flowsift.llm.common import SPACE, stored_rows, text_of, words_of
 from flowsift.storage import materialize
 
 BLOCK_TOKENS = 256
@@ -36,11 +36,15 @@ _CELLS = 4096
 _SLOTS_PER_RUN = 8192
 
 
-def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = SEED) -> DataFrame:
-    """``row_no, doc_id, source, size`` and the shuffle key of every document."""
+def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = SEED,
+          row_col: str | None = None) -> DataFrame:
+    """``row_no, doc_id, source, size`` and the shuffle key of every document.
+
+    Without a column of row numbers they are made in this scan and hold for it only.
+    """
     key = F.coalesce(F.col("_id").cast("string"), F.lit(""))
-    rows = numbered(docs, "_row_no").select(
-        F.col("_row_no").alias("row_no"),
+    rows = docs.select(
+        (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row_no"),
         F.col(f"`{id_col}`").alias("_id"),
         F.col(f"`{source_col}`").cast("string").alias("source"),
         F.size(words_of(text_of(f"`{text_col}`"))).cast("long").alias("size"),
@@ -204,14 +208,15 @@ def spark_total(goal: DataFrame, block_tokens: int) -> int:
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        weight: Column | None = None, block_tokens: int = BLOCK_TOKENS, max_epochs: int = MAX_EPOCHS, seed: str = SEED):
+        weight: Column | None = None, block_tokens: int = BLOCK_TOKENS, max_epochs: int = MAX_EPOCHS, seed: str = SEED,
+        row_col: str | None = None):
     """Returns (rows, goal, uses).
 
     ``rows`` are the documents with their sizes, ``goal`` the sources with their
     targets, ``uses`` one row per slot and document piece: the piece starts at word
     ``doc_token`` of the document and has ``taken`` words.
     """
-    rows = materialize(sizes(docs, id_col, text_col, source_col, seed), "mix_sizes")
+    rows = materialize(sizes(docs, id_col, text_col, source_col, seed, row_col), "mix_sizes")
     goal = materialize(targets(rows, weight, max_epochs), "mix_targets")
     pieces = segments(rows, block_tokens).withColumnRenamed("source", "s").withColumnRenamed("block", "b")
     slots = schedule(goal, block_tokens)
@@ -237,11 +242,12 @@ def mixed_documents(docs: DataFrame, text_col: str = "text", **options) -> DataF
 
     A document that the mix takes twice appears twice; one of which only a part of the
     words is taken (at the end of a source's share) appears with its first words. A
-    document without words belongs to no block and stays once. ``docs`` must be a
-    stored table.
+    document without words belongs to no block and stays once.
     """
-    taken = taken_per_document(docs, text_col=text_col, **options).select("row_no", "size", "taken")
-    rows = numbered(packed(docs), "_row_no").join(taken, F.col("_row_no") == F.col("row_no"))
+    stored, row_no = stored_rows(docs, "mix_rows")
+    taken = taken_per_document(stored, text_col=text_col, row_col=row_no, **options).select("row_no", "size", "taken")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    rows = stored.select(F.col(row_no).alias("_row_no"), row).join(taken, F.col("_row_no") == F.col("row_no"))
     full = F.when(F.col("size") == 0, F.lit(1)).otherwise(F.floor(F.col("taken") / F.col("size")))
     part = F.when(F.col("size") > 0, F.col("taken") % F.col("size")).otherwise(0)
     whole = F.transform(F.sequence(F.lit(1), full), lambda _: F.lit(0))

@@ -40,7 +40,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowsift.llm.common import ascii_lower, let, numbered, packed, text_of, words_of
+from flowsift.llm.common import ascii_lower, let, stored_rows, text_of, words_of
 from flowsift.llm.components import connected_components
 from flowsift.storage import materialize
 
@@ -138,13 +138,12 @@ def _similar(counted: DataFrame, percent: int) -> DataFrame:
     return counted.where(100 * F.col("common") >= percent * (F.col("both") - F.col("common"))).select("a", "b")
 
 
-def _links(docs: DataFrame, reps: DataFrame, text_col: str, length: int, percent: int, sketch: int) -> DataFrame:
-    """Labels ``node, comp`` of all sets that have a link."""
+def _links(texts: DataFrame, reps: DataFrame, length: int, percent: int, sketch: int) -> DataFrame:
+    """Labels ``node, comp`` of all sets that have a link; ``texts`` holds ``node, text``."""
     lists = materialize(_lists(reps, sketch, percent), "lists")
     by_value = lists.select("node", F.explode("keys").alias("v"))
     crowd = by_value.groupBy("v").agg(F.count("*").alias("c")).where("c > 1").select("v")
     candidates = by_value.join(crowd, "v").select("node").distinct()
-    texts = numbered(docs, "_row_no").select(F.col("_row_no").alias("node"), text_of(f"`{text_col}`").alias("text"))
     sets = texts.join(materialize(candidates, "candidates"), "node", "left_semi")
     sets = materialize(sets.select("node", shingles(F.col("text"), length).alias("items")), "sets")
 
@@ -193,14 +192,17 @@ def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def find_groups(docs: DataFrame, length: int = SHINGLE, percent: int = PERCENT, sketch: int = SKETCH,
-                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
     """One row per document: ``row_no, doc_id, n_shingles, component_id, keep_row``.
 
     ``component_id`` is the smallest id that links reach, ``keep_row`` the number of the
-    row that stays of the group. ``docs`` must be a stored table.
+    row that stays of the group. Texts are read twice, so without a stored column of row
+    numbers ids and texts are first written with one.
     """
-    rows = numbered(docs, "_row_no").select(
-        F.col("_row_no").alias("row_no"),
+    if row_col is None:
+        docs, row_col = stored_rows(docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")), "near_rows")
+    rows = docs.select(
+        F.col(row_col).alias("row_no"),
         F.col(f"`{id_col}`").alias("doc_id"),
         shingles(text_of(f"`{text_col}`"), length).alias("items"),
     )
@@ -218,7 +220,8 @@ def find_groups(docs: DataFrame, length: int = SHINGLE, percent: int = PERCENT,
     classes = materialize(classes, "classes")
     reps = rows.join(classes.select("node"), F.col("row_no") == F.col("node"), "left_semi")
     reps = materialize(reps.select(F.col("row_no").alias("node"), "n", "sketch"), "class_sketches")
-    labels = _links(docs, reps, text_col, length, percent, sketch)
+    texts = docs.select(F.col(row_col).alias("node"), text_of(f"`{text_col}`").alias("text"))
+    labels = _links(texts, reps, length, percent, sketch)
 
     # A component's smallest id, found per class first, goes back to classes and then to rows.
     joined = materialize(classes.join(labels, "node"), "linked_classes")
@@ -238,7 +241,8 @@ def find_groups(docs: DataFrame, length: int = SHINGLE, percent: int = PERCENT,
 
 
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """One document of every group, with all its columns. ``docs`` must be a stored table."""
-    dropped = find_groups(docs, **options).where("row_no <> keep_row").select("row_no")
-    rows = numbered(packed(docs), "_row_no")
-    return rows.join(materialize(dropped, "dropped_rows"), F.col("_row_no") == F.col("row_no"), "left_anti").select("_row.*")
+    """One document of every group, with all its columns."""
+    rows, row_no = stored_rows(docs, "near_rows")
+    found = find_groups(rows, row_col=row_no, **options)
+    dropped = materialize(found.where("row_no <> keep_row").select(F.col("row_no").alias(row_no)), "dropped_rows")
+    return rows.join(dropped, row_no, "left_anti").drop(row_no)

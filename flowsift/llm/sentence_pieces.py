@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2 as model_pb
 
-from flowsift.llm.common import let, numbered, text_of
+from flowsift.llm.common import let, stored_rows, text_of
 from flowsift.storage import materialize
 
 MARK = "▁"
@@ -296,12 +296,13 @@ def _merge_udf(path: str):
 
 
 def encode_by_join(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``row_no, doc_id, ids`` of every document, relationally. ``docs`` must be a stored table.
+    """``row_no, doc_id, ids`` of every document, relationally.
 
     Every occurrence of a word is shuffled twice: to the word's pieces and back.
     """
-    rows = numbered(docs, "_row_no").select(
-        F.col("_row_no").alias("row_no"), F.col(f"`{id_col}`").alias("doc_id"), words_in(text_of(f"`{text_col}`")).alias("words")
+    docs, row_no = stored_rows(docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")), "piece_rows")
+    rows = docs.select(
+        F.col(row_no).alias("row_no"), F.col(f"`{id_col}`").alias("doc_id"), words_in(text_of(f"`{text_col}`")).alias("words")
     )
     used = rows.select("row_no", F.posexplode("words").alias("pos", "word"))
     known = materialize(encode_words(used.select("word").distinct(), path), "word_pieces")
