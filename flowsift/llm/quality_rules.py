@@ -8,7 +8,9 @@ comparable. Whoever stays below the threshold goes; nothing is drawn at random.
 
 Everything is built-in expressions: one pass over the corpus counts buckets (a task
 ships at most ``BUCKETS`` partial sums), a second one scores. Arrays of a row are
-folded inside the row, so texts are never shuffled.
+folded inside the row. For the counts each text moves once, to the flag of its id: all
+documents labelled as good are trusted, so their ids grow with the corpus and are not
+broadcast. The flags are hashed per task, so texts are not sorted.
 
 Edge cases: a null text has no words, and like an empty one fails the base rules. Its
 score is 0. Rows whose id is null or not labelled count as raw only. Without any
@@ -26,9 +28,6 @@ from pyspark.sql import functions as F
 from flowsift.llm.common import let, text_of, words_of
 
 BUCKETS = 32_768
-# Ids of trusted documents are broadcast, so their number has a bound: those first by
-# hash. It bounds the fit on labelled rows; the raw counts cover all documents.
-MAX_TRUSTED = 20_000
 # Raw n-grams that every bucket holds beforehand, with the trusted share among them; it
 # draws the ratios of rare buckets to 0, so small corpora do not punish rare words.
 SMOOTHING = 20.0
@@ -102,15 +101,14 @@ def _hashes(words: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def trusted_ids(labels: DataFrame, limit: int = MAX_TRUSTED) -> DataFrame:
-    """Ids of rows labelled as good, at most ``limit``: the first by hash."""
-    good = labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("trusted_id")).distinct()
-    return good.orderBy(F.xxhash64("trusted_id"), "trusted_id").limit(limit)
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """Ids of all rows labelled as good."""
+    return labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("trusted_id")).distinct()
 
 
 def fit_ratios(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> np.ndarray:
     """Log ratio per bucket. The driver gets ``BUCKETS`` sums, whatever the input."""
-    trusted = F.broadcast(trusted_ids(labels))
+    trusted = trusted_ids(labels).hint("shuffle_hash")
     rows = docs.select(F.col(f"`{id_col}`").alias("_id"), text_of(f"`{text_col}`").alias("_text"))
     rows = rows.join(trusted, F.col("_id") == F.col("trusted_id"), "left")
     found = rows.select(

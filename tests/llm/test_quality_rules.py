@@ -84,3 +84,11 @@ def test_odd_rows(spark, stored):
     none = spark.createDataFrame([], "doc_id long, quality int")
     check(q.judge(docs, none), texts, set())
     assert q.judge(stored([]), labels).count() == 0
+
+
+def test_every_good_label_is_trusted(spark):
+    n = 20_100
+    labels = spark.range(n).selectExpr("id AS doc_id", "1 AS quality")
+    assert q.trusted_ids(labels).count() == n
+    docs = labels.selectExpr("doc_id", "concat('w', doc_id % 7) AS text")
+    assert not q.fit_ratios(docs, labels).any()
