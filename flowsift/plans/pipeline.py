@@ -92,9 +92,13 @@ def run_pipeline(
     run_date: dt.date | None = None,
     output_dir: str | None = None,
     unique_ids: bool = False,
+    importance_rows: int | None = None,
 ) -> PipelineResult:
     """All stages. ``max_alerts=None`` makes an alert of every flagged flow.
 
+    Importance covers every flagged flow; ``importance_rows`` takes a sample of that many
+    scored flows by hash of the key instead.
+
     The scored evaluation table is written once; every later stage reads it.
     """
     model = train_model(prepare(baseline, unique_ids), config, target_fpr)
@@ -102,14 +106,14 @@ def run_pipeline(
     threshold = model.forest.threshold
 
     explainer = FlowExplainer(model.forest)
-    sample = model.scaler.with_scaled(bounded_sample(scored, key=KEY))
+    weighed = scored.where(F.col("is_alert") == 1) if importance_rows is None else bounded_sample(scored, importance_rows, KEY)
     top = most_anomalous(scored)
     chosen = scored if max_alerts is None else top_flagged(scored, threshold, max_alerts)
     result = PipelineResult(
         model=model,
         scored=scored,
         flagged=flagged_share(scored, threshold),
-        importance=feature_importance(explainer.compute_anomaly_shap(sample)),
+        importance=feature_importance(explainer.compute_anomaly_shap(model.scaler.with_scaled(weighed))),
         top_explanation=explain_scored(model, top),
         metrics=evaluate_detection(scored, threshold),
         tradeoff=tradeoff_curve(scored),

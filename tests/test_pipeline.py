@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from flowsift import storage
 from flowsift.operators import reports
+from flowsift.operators.attribution import FlowExplainer, feature_importance
 from flowsift.plans.benchmark import evaluate_benchmark, normalise_benchmark
 from flowsift.plans.catalog import QUERIES, _split, trained_model
 from flowsift.plans.pipeline import run_pipeline
@@ -154,3 +155,13 @@ def test_plans_stay_narrow(spark):
     assert "PushedFilters: [IsNotNull" in scored
     narrow = _plan(reports.flagged_share(stored_view(spark, SF, "scored_surrogate"), 0.5))
     assert "ReadSchema: struct<anomaly_score:double>" in narrow
+
+
+def test_importance_covers_every_flagged_flow(spark):
+    base, evaluation = _split(spark, SF)
+    result = run_pipeline(base, evaluation, ForestConfig(n_trees=5), target_fpr=0.3)
+    flagged = result.scored.where("is_alert = 1")
+    assert flagged.count() > 500
+    want = feature_importance(FlowExplainer(result.model.forest).compute_anomaly_shap(result.model.scaler.with_scaled(flagged)))
+    got = {r.feature: r.mean_abs_shap for r in result.importance.collect()}
+    assert got == pytest.approx({r.feature: r.mean_abs_shap for r in want.collect()})
