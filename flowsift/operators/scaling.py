@@ -24,7 +24,7 @@ class FlowScaler:
 
     def __init__(self, scaler_type: str = "robust", exact_rows: int = EXACT_ROWS):
         if scaler_type not in SCALER_TYPES:
-            raise ValueError(f"scaler_type is one of {SCALER_TYPES}, not {scaler_type!r}")
+            raise ValueError(f"{scaler_type!r} is Unsupported; the scalers are {', '.join(SCALER_TYPES)}")
         self.scaler_type = scaler_type
         self.exact_rows = exact_rows
         self.stats: dict[str, tuple[float, float]] | None = None
