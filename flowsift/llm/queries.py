@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowsift.llm import exact_dedup, html_text, language_id, license_scan, mixing, near_dedup, quality_rules, quality_votes, sentence_pieces, token_counts
+from flowsift.llm import (
+    exact_dedup,
+    html_text,
+    language_id,
+    license_scan,
+    mixing,
+    near_dedup,
+    prefix_bpe,
+    quality_rules,
+    quality_votes,
+    sentence_pieces,
+    token_counts,
+)
 from flowsift.llm.common import read_table
 
 
@@ -77,6 +89,12 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(read_table(spark, sf_dir, "documents"))
 
 
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE ids of every document and the bytes that they decode to, as digests."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return prefix_bpe.round_trip(read_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
 # Sources that stop at their limit are found by repeated passes here, and what a
 # document gives by its place on its source's line.
 OP9_SQL = """
@@ -119,6 +137,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_mixing": op9_mixing,
     "op10_license_scan": op10_license_scan,
+    "op13_byte_bpe": op13_byte_bpe,
 }
 
 SQL: dict[str, str] = {
