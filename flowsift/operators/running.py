@@ -1,44 +1,64 @@
-"""Running totals over an ordered value without one giant partition."""
+"""Places, ranks and running totals in the order of a table, without one giant partition.
+
+The table is written in order, as many range partitions as the session shuffles with.
+A row's place is the number of its partition and its number inside; what earlier
+partitions hold in front of it is one row per partition, so it can be broadcast.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 128
+from flowsift.storage import materialize
+
+# Fixed value: bits that monotonically_increasing_id leaves to the rows of a partition.
+_ROW_BITS = 33
+PLACE, _PART = "_place", "_part"
+
+
+def in_order(df: DataFrame, order: list[Column], parts: int | None = None) -> DataFrame:
+    """``df`` stored in the given order with its place in ``_place``, ascending in that order.
+
+    Rows that agree in every key of ``order`` share a partition, so ``order`` should end
+    with a key that tells them apart. Range partitions are found by a pass of their own:
+    pass a stored table. The result is stored, so places stay as they are.
+    """
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    return materialize(placed.withColumn(PLACE, F.monotonically_increasing_id()), "in-order")
+
+
+def _part() -> Column:
+    return F.shiftright(PLACE, _ROW_BITS)
+
+
+def _with_earlier(placed: DataFrame, totals: dict[str, Column]) -> DataFrame:
+    """``placed`` with ``_part`` and, per name, the total over earlier partitions."""
+    before = Window.partitionBy(F.lit(0)).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    per_part = placed.groupBy(_part().alias(_PART)).agg(*[total.alias(name) for name, total in totals.items()])
+    earlier = per_part.select(_PART, *[F.coalesce(F.sum(name).over(before), F.lit(0)).alias(name) for name in totals])
+    # One row per partition, whatever the table holds.
+    return placed.withColumn(_PART, _part()).join(F.broadcast(earlier), _PART)
+
+
+def with_rank(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
+    """Add ``name``: the number of rows before this one in the given order, from 0."""
+    ranked = _with_earlier(in_order(df, order), {"_before": F.count(F.lit(1))})
+    inside = F.col(PLACE).bitwiseAND((1 << _ROW_BITS) - 1)
+    return ranked.select(*df.columns, (F.col("_before") + inside).alias(name))
 
 
 def running_totals(
-    df: DataFrame, order_col: str, sum_cols: list[str], descending: bool = True, buckets: int = BUCKETS
+    df: DataFrame, order_col: str, sum_cols: list[str], descending: bool = True, buckets: int | None = None
 ) -> DataFrame:
     """Add ``cum_<column>``: inclusive running sums in the order of ``order_col``.
 
-    ``df`` holds one row per distinct ``order_col`` (aggregate first), so no
-    bucket can be hot. Bucket edges are approximate quantiles of the distinct
-    values, fetched once so that both branches below agree on them; the sums are
-    exact whatever the edges are. Inside a bucket a window adds up; the total of
-    earlier buckets (at most ``buckets`` rows) is joined on.
+    ``df`` holds one row per distinct ``order_col`` (aggregate first), so no partition can
+    be hot. ``buckets`` is the number of range partitions, by default that of the session.
     """
-    steps = ", ".join(f"{i / buckets!r}D" for i in range(1, buckets))
-    sketch = F.expr(f"percentile_approx(cast(`{order_col}` as double), array({steps}), 10000)")
-    edges = sorted(set(df.agg(sketch.alias("edges")).first()["edges"] or []))
-    if edges:
-        limits = F.expr("array(" + ", ".join(f"{e!r}D" for e in edges) + ")")
-        bucket = F.size(F.filter(limits, lambda e: e <= F.col(order_col)))
-    else:
-        bucket = F.lit(0)
-    bucketed = df.withColumn("__bucket", bucket)
     order = F.col(order_col).desc() if descending else F.col(order_col).asc()
-    inside = Window.partitionBy("__bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    bucket_order = F.col("__bucket").desc() if descending else F.col("__bucket").asc()
-    # At most `buckets` rows: one partition is the right size for this window.
-    before = Window.orderBy(bucket_order).rowsBetween(Window.unboundedPreceding, -1)
-    totals = (
-        bucketed.groupBy("__bucket")
-        .agg(*[F.sum(c).alias(f"__t_{c}") for c in sum_cols])
-        .select("__bucket", *[F.coalesce(F.sum(f"__t_{c}").over(before), F.lit(0)).alias(f"__b_{c}") for c in sum_cols])
-    )
-    summed = bucketed.withColumns({f"__c_{c}": F.sum(c).over(inside) for c in sum_cols})
-    return summed.join(F.broadcast(totals), "__bucket").select(
-        *df.columns, *[(F.col(f"__c_{c}") + F.col(f"__b_{c}")).alias(f"cum_{c}") for c in sum_cols]
-    )
+    stored = materialize(df, "per-value")
+    summed = _with_earlier(in_order(stored, [order], buckets), {f"_b_{c}": F.sum(c) for c in sum_cols})
+    inside = Window.partitionBy(_PART).orderBy(PLACE).rowsBetween(Window.unboundedPreceding, 0)
+    return summed.select(*df.columns, *[(F.sum(c).over(inside) + F.col(f"_b_{c}")).alias(f"cum_{c}") for c in sum_cols])
