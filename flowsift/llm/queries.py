@@ -13,6 +13,7 @@ from flowsift.llm import (
     html_text,
     language_id,
     license_scan,
+    merkle,
     mixing,
     near_dedup,
     prefix_bpe,
@@ -89,6 +90,70 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(read_table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle manifest of all documents by language, and what its proofs say of tampered ones."""
+    found = merkle.check(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+# Levels are added and proofs folded one step a pass; the CRC-32 is that of the decimal id.
+OP11_SQL = """
+WITH RECURSIVE
+crc_table AS (
+  SELECT list(list_reduce(list_concat([i], [0, 0, 0, 0, 0, 0, 0, 0]),
+                          lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM (SELECT CAST(unnest(range(256)) AS BIGINT) AS i)),
+fields AS (
+  SELECT doc_id, lang, n_chars,
+         coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') AS f_id,
+         coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS f_place,
+         coalesce(strlen(text) || ':' || text, '-') AS f_text
+  FROM documents),
+hashed AS (
+  SELECT doc_id, lang, sha256(f_id || f_place || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || f_text) AS leaf,
+         CASE WHEN n_chars IS NOT NULL AND xor(list_reduce(
+                list_concat([CAST(4294967295 AS BIGINT)], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+                lambda c, b: xor(c >> 8, t[CAST((xor(c, b) & 255) + 1 AS BIGINT)])), 4294967295) % 7 = 0
+              THEN sha256(f_id || f_place || strlen(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1) || f_text) END AS changed
+  FROM fields, crc_table),
+groups AS (SELECT lang, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree, count(*) AS n FROM hashed GROUP BY lang),
+placed AS (
+  SELECT g.tree, g.n, h.doc_id, h.leaf, coalesce(h.changed, h.leaf) AS now,
+         row_number() OVER (PARTITION BY g.tree ORDER BY h.doc_id NULLS FIRST, h.leaf) - 1 AS pos
+  FROM hashed h JOIN groups g ON h.lang IS NOT DISTINCT FROM g.lang),
+nodes AS (
+  SELECT tree, 0 AS level, pos, leaf AS h, n FROM placed
+  UNION ALL
+  SELECT tree, level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (max(n) + 1) // 2
+  FROM nodes WHERE n > 1 GROUP BY tree, level, pos // 2),
+tops AS (
+  SELECT 0 AS level, tree AS pos, h, (SELECT count(*) FROM groups) AS n FROM nodes WHERE n = 1
+  UNION ALL
+  SELECT level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (max(n) + 1) // 2
+  FROM tops WHERE n > 1 GROUP BY level, pos // 2),
+climbed AS (
+  SELECT tree, pos AS leaf_pos, 0 AS level, pos, now AS h, '' AS proof, n FROM placed
+  UNION ALL
+  SELECT c.tree, leaf_pos, c.level + 1, c.pos // 2,
+         sha256(CASE WHEN s.h IS NULL THEN c.h WHEN c.pos % 2 = 1 THEN s.h || c.h ELSE c.h || s.h END),
+         proof || coalesce(s.h, ''), (c.n + 1) // 2
+  FROM climbed c LEFT JOIN nodes s ON s.tree = c.tree AND s.level = c.level AND s.pos = xor(c.pos, 1)
+  WHERE c.n > 1),
+out AS (
+  SELECT tree, leaf_pos, 0 AS level, tree AS pos, h, proof, (SELECT count(*) FROM groups) AS n FROM climbed WHERE n = 1
+  UNION ALL
+  SELECT o.tree, leaf_pos, o.level + 1, o.pos // 2,
+         sha256(CASE WHEN s.h IS NULL THEN o.h WHEN o.pos % 2 = 1 THEN s.h || o.h ELSE o.h || s.h END),
+         proof || coalesce(s.h, ''), (o.n + 1) // 2
+  FROM out o LEFT JOIN tops s ON s.level = o.level AND s.pos = xor(o.pos, 1)
+  WHERE o.n > 1)
+SELECT p.doc_id, p.leaf, (SELECT h FROM nodes r WHERE r.n = 1 AND r.tree = p.tree) AS subroot,
+       (SELECT h FROM tops WHERE n = 1) AS root, sha256(o.proof) AS proof_sha256,
+       o.h AS folded_root, o.h = (SELECT h FROM tops WHERE n = 1) AS verified
+FROM placed p JOIN out o ON o.tree = p.tree AND o.leaf_pos = p.pos AND o.n = 1
+"""
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of every document and the bytes that they decode to, as digests."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -137,10 +202,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_mixing": op9_mixing,
     "op10_license_scan": op10_license_scan,
+    "op11_merkle_manifest": op11_merkle_manifest,
     "op13_byte_bpe": op13_byte_bpe,
 }
 
 SQL: dict[str, str] = {
     "op4_exact_dedup": OP4_SQL,
     "op9_mixing": OP9_SQL,
+    "op11_merkle_manifest": OP11_SQL,
 }
