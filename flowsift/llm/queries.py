@@ -163,6 +163,78 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# One pass per row: the least (cost, audit) that reaches each state, with the lines it leaves.
+# The VALUES list what inserted rows and then one edit of a row can do between states.
+OP12_SQL = """
+WITH RECURSIVE
+crc_table AS (
+  SELECT list(list_reduce(list_concat([i], [0, 0, 0, 0, 0, 0, 0, 0]),
+                          lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM (SELECT CAST(unnest(range(256)) AS BIGINT) AS i)),
+given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(list_reduce(
+           list_concat([CAST(4294967295 AS BIGINT)],
+             list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+                            lambda ch: CAST(ascii(ch) AS BIGINT))),
+           lambda c, b: xor(c >> 8, t[CAST((xor(c, b) & 255) + 1 AS BIGINT)])), 4294967295) % 20 AS k
+  FROM conversations, crc_table),
+harmed AS (
+  SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN k = 1 THEN '' WHEN k = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM given, (VALUES (0), (1)) AS copies(copy) WHERE k <> 0 AND (copy = 0 OR k = 3)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(concat(length(role), ':', role, text))) AS i,
+         right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS last
+  FROM harmed),
+judged AS (
+  SELECT *, left(role, 1) AS initial, lag(left(role, 1)) OVER c AS earlier,
+         CASE WHEN last = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+              WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+  FROM placed WINDOW c AS (PARTITION BY conv_id ORDER BY i)),
+counted AS (
+  SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (earlier IS NOT NULL AND earlier || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY conv_id),
+goes(state, gap, cost, audit, lines) AS (
+  VALUES ('-', '-', 0, '', []), ('-', 'u', 3, 'I', ['user:']), ('-', 'a', 6, 'II', ['user:', 'assistant:']),
+         ('s', 's', 0, '', []), ('s', 'u', 3, 'I', ['user:']), ('s', 'a', 6, 'II', ['user:', 'assistant:']),
+         ('u', 'u', 0, '', []), ('u', 'a', 3, 'I', ['assistant:']),
+         ('a', 'a', 0, '', []), ('a', 'u', 3, 'I', ['user:'])),
+edits(gap, edit, state, initial, cost) AS (
+  VALUES ('-', 'D', '-', NULL, 4), ('s', 'D', 's', NULL, 4), ('u', 'D', 'u', NULL, 4), ('a', 'D', 'a', NULL, 4),
+         ('-', 'R', 'u', NULL, 3), ('s', 'R', 'u', NULL, 3), ('u', 'R', 'a', NULL, 3), ('a', 'R', 'u', NULL, 3),
+         ('-', 'K', 's', 's', 0), ('-', 'K', 'u', 'u', 0), ('s', 'K', 'u', 'u', 0), ('a', 'K', 'u', 'u', 0), ('u', 'K', 'a', 'a', 0),
+         ('-', 'K', '-', '', 0), ('s', 'K', 's', '', 0), ('u', 'K', 'u', '', 0), ('a', 'K', 'a', '', 0)),
+found AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, '-' AS state, {'cost': 0, 'audit': '', 'lines': CAST([] AS VARCHAR[])} AS best
+  FROM counted
+  UNION ALL
+  SELECT f.conv_id, f.i + 1, e.state,
+         min({'cost': f.best.cost + g.cost + e.cost + CASE WHEN e.edit <> 'D' AND r.fault = 'truncated' THEN 3 ELSE 0 END,
+              'audit': f.best.audit || g.audit || e.edit,
+              'lines': list_concat(f.best.lines, g.lines, CASE e.edit WHEN 'D' THEN [] WHEN 'K' THEN [r.role || ':' || r.text]
+                         ELSE [CASE e.state WHEN 'u' THEN 'user:' ELSE 'assistant:' END || r.text] END)})
+  FROM found f JOIN judged r ON r.conv_id IS NOT DISTINCT FROM f.conv_id AND r.i = f.i + 1
+       JOIN goes g ON g.state = f.state
+       JOIN edits e ON e.gap = g.gap AND (e.edit = 'D' OR r.fault NOT IN ('blank', 'duplicate')) AND (e.edit <> 'K' OR e.initial = r.initial)
+  GROUP BY f.conv_id, f.i, e.state),
+ended AS (
+  SELECT c.conv_id, min({'cost': f.best.cost + g.cost, 'audit': f.best.audit || g.audit, 'lines': list_concat(f.best.lines, g.lines)}) AS best
+  FROM counted c JOIN found f ON f.conv_id IS NOT DISTINCT FROM c.conv_id AND f.i = c.n
+       JOIN goes g ON g.state = f.state AND g.gap IN ('-', 'a')
+  GROUP BY c.conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(e.best.cost, 0) AS BIGINT) AS cost,
+       coalesce(e.best.audit, '') AS audit, sha256(coalesce(array_to_string(e.best.lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+     LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+     LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of every document and the bytes that they decode to, as digests."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -220,4 +292,5 @@ SQL: dict[str, str] = {
     "op4_exact_dedup": OP4_SQL,
     "op9_mixing": OP9_SQL,
     "op11_merkle_manifest": OP11_SQL,
+    "op12_conversation_repair": OP12_SQL,
 }

@@ -7,9 +7,10 @@ from functools import lru_cache
 
 import pytest
 
+from check_oracle import compare
 from flowsift.llm import conversation_repair as m
 from flowsift.llm.common import read_table
-from flowsift.llm.queries import QUERIES
+from flowsift.llm.queries import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "conv_id long, turn long, role string, text string"
@@ -183,3 +184,8 @@ def test_rules_are_shared(spark):
     u, a = m.SYMBOLS.index("u"), m.SYMBOLS.index("a")
     assert rules[0][0] == (u, a) and len(m.parse("uauauaua", rules)) <= 2
     assert m.learn_rules(sequences.where("symbols = ''")) == ()
+
+
+def test_query_equals_sql(spark, con):
+    result = compare("op12", spark, con, SF, QUERIES["op12_conversation_repair"], SQL["op12_conversation_repair"])
+    assert result.startswith("ok") and "TYPES" not in result, result
