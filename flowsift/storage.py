@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,15 +41,38 @@ def _session_dir(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/flowsift/{spark.sparkContext.applicationId}"
 
 
+_RECORDS: list[list[str]] = []
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
-    return f"{_session_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_session_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    for record in _RECORDS:
+        record.append(path)
+    return path
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The paths that are handed out inside the block, to be removed when their readers are done."""
+    paths: list[str] = []
+    _RECORDS.append(paths)
+    try:
+        yield paths
+    finally:
+        _RECORDS[:] = [r for r in _RECORDS if r is not paths]
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Remove folders of the shared folder; what is gone already is no error."""
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def release(spark: SparkSession) -> None:
     """Remove the intermediate tables of this application, once their readers are done."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_session_dir(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    remove(spark, [_session_dir(spark)])
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
