@@ -53,3 +53,20 @@ def stored_rows(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     while column in taken:
         column = f"_{column}"
     return materialize(df.withColumn(column, F.monotonically_increasing_id()), name), column
+
+
+def placed_rows(df: DataFrame, name: str, stored: bool = False) -> tuple[DataFrame, list[str]]:
+    """``df`` with columns that tell its rows apart in every scan, and their names.
+
+    ``stored=True`` states that ``df`` reads Parquet files, maybe through filters and
+    projections: rows are known by a hash of their file's path and their number in it,
+    which do not depend on file splits, and nothing is written. Otherwise rows are stored.
+    """
+    if not stored:
+        rows, column = stored_rows(df, name)
+        return rows, [column]
+    taken, columns = {c.lower() for c in df.columns}, ["_file", "_row_in_file"]
+    while taken & set(columns):
+        columns = [f"_{c}" for c in columns]
+    place = df.metadataColumn("_metadata")
+    return df.select("*", F.xxhash64(place["file_path"]).alias(columns[0]), place["row_index"].alias(columns[1])), columns

@@ -2,12 +2,15 @@
 
 Every source is laid out as a line of tokens in a shuffled document order and cut
 into blocks of equal length. Slot ``i`` of the mix gets the golden-ratio point
-``frac((i + 1) * phi)``, which is mapped through the cumulative target shares to a
-source; the rank of the slot within its source is the block it takes. Since such
-points fill every interval evenly, each stretch of the mix holds the sources in
-their target shares, without drawing random numbers. A source stops at its target,
-and one that the points served a few slots too little gets them at the end, so the
-tokens taken are the target, rounded down.
+``frac((i + 1) * phi)``, computed in whole 64-bit steps, which is mapped through the
+cumulative target shares to a source; the rank of the slot within its source is the
+block it takes. Since such points fill every interval evenly, each stretch of the mix
+holds the sources in their target shares, without drawing random numbers. A source stops
+at its target, and one that the points served a few slots too little gets them at the
+end, so the tokens taken are the target, rounded down.
+
+A document tells its first slot and how many slots take words of it. ``mixed_documents``
+writes the mix in slot order: a document stands where the block with its beginning stands.
 
 Hot sources: prefix sums and ranks run over (source, bucket) first and over the
 bucket totals second, so no task holds a whole source.
@@ -24,33 +27,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowsift.llm.common import SPACE, stored_rows, text_of, words_of
+from flowsift.llm.common import placed_rows, text_of, words_of
 from flowsift.storage import materialize
 
 BLOCK_TOKENS = 256
 MAX_EPOCHS = 3
 SEED = "mix-1"
-# Fixed value: the golden ratio's fractional part.
-GOLDEN = 0.6180339887498949
+# Fixed value: the golden ratio's fractional part in steps of 2 ** -64.
+GOLDEN = 11400714819323198485
 _CELLS = 4096
 _SLOTS_PER_RUN = 8192
 
 
 def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = SEED,
-          row_col: str | None = None) -> DataFrame:
-    """``row_no, doc_id, source, size`` and the shuffle key of every document.
+          row_cols: list[str] | None = None) -> DataFrame:
+    """``row_no, row, doc_id, source, size`` and the shuffle key of every document.
 
-    Without a column of row numbers they are made in this scan and hold for it only.
+    ``row`` holds ``row_cols``, by which rows can be found again; ``row_no`` is made in this scan.
     """
     key = F.coalesce(F.col("_id").cast("string"), F.lit(""))
+    row_no = F.monotonically_increasing_id()
     rows = docs.select(
-        (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row_no"),
+        row_no.alias("row_no"),
+        F.struct(*row_cols or [row_no.alias("n")]).alias("row"),
         F.col(f"`{id_col}`").alias("_id"),
         F.col(f"`{source_col}`").cast("string").alias("source"),
         F.size(words_of(text_of(f"`{text_col}`"))).cast("long").alias("size"),
     )
     return rows.select(
-        "row_no", F.col("_id").alias("doc_id"), "source", "size", F.md5(F.concat(F.lit(f"{seed}:"), key)).alias("key")
+        "row_no", "row", F.col("_id").alias("doc_id"), "source", "size", F.md5(F.concat(F.lit(f"{seed}:"), key)).alias("key")
     )
 
 
@@ -127,10 +132,15 @@ def _running(df: DataFrame, keys: list[str], bucket: str, order: list[Column], a
     return df.drop("_inside", "_before", "_bucket", *[f"_{k}" for k in keys])
 
 
+def _piece() -> Column:
+    """Parts the rows of one key, which are all of them where ids are null: by size, then by place."""
+    return F.format_string("%016x%04x", F.col("size"), F.shiftright("row_no", 33).bitwiseAND(0xFFFF))
+
+
 def segments(rows: DataFrame, block_tokens: int) -> DataFrame:
     """Where each document lies on its source's line: one row per document and block it touches."""
     placed = _running(
-        rows.where("size > 0").withColumn("bucket", F.substring("key", 1, 3)),
+        rows.where("size > 0").withColumn("bucket", F.concat(F.substring("key", 1, 3), _piece())),
         ["source"],
         "bucket",
         [F.col("key"), F.col("size"), F.col("row_no")],
@@ -160,9 +170,8 @@ def schedule(goal: DataFrame, block_tokens: int) -> DataFrame:
     """
     spark = goal.sparkSession
     n = spark_total(goal, block_tokens)
-    points = spark.range(n).select(
-        F.col("id").alias("slot"), ((F.col("id") + 1) * F.lit(GOLDEN) - F.floor((F.col("id") + 1) * F.lit(GOLDEN))).alias("x")
-    )
+    turn = F.expr(f"cast((cast(id + 1 as decimal(18, 0)) * {GOLDEN}BD) % {2**64}BD as double) / {2.0**64}D")
+    points = spark.range(n).select(F.col("id").alias("slot"), turn.alias("x"))
     points = points.withColumn("cell", F.floor(F.col("x") * _CELLS))
     # A source covers the cells between its end points; inside a cell few sources remain.
     cells = goal.where("x_to > x_from").select(
@@ -183,8 +192,11 @@ def schedule(goal: DataFrame, block_tokens: int) -> DataFrame:
     served = ranked.groupBy(F.col("source").alias("s")).agg(F.count("*").alias("served"))
     short = need.join(served, _same(F.col("source"), F.col("s")), "left").withColumn("served", F.coalesce("served", F.lit(0)))
     more = short.where("served < n_slots").select(
-        F.lit(None).cast("long").alias("slot"), "source", F.explode(F.sequence(F.col("served"), F.col("n_slots") - 1)).alias("rank")
+        "source", F.explode(F.sequence(F.col("served"), F.col("n_slots") - 1)).alias("rank")
     )
+    # The points miss a share by a few slots whatever their number, so these are few rows a source.
+    late = Window.partitionBy(F.lit(0)).orderBy("rank", F.col("source").asc_nulls_last())
+    more = more.select((F.row_number().over(late) + (n - 1)).cast("long").alias("slot"), "source", "rank")
     slots = ranked.unionByName(more)
     need = need.withColumnRenamed("source", "s")
     slots = slots.join(need, _same(F.col("source"), F.col("s"))).where("rank < n_slots")
@@ -209,14 +221,14 @@ def spark_total(goal: DataFrame, block_tokens: int) -> int:
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weight: Column | None = None, block_tokens: int = BLOCK_TOKENS, max_epochs: int = MAX_EPOCHS, seed: str = SEED,
-        row_col: str | None = None):
+        row_cols: list[str] | None = None):
     """Returns (rows, goal, uses).
 
     ``rows`` are the documents with their sizes, ``goal`` the sources with their
     targets, ``uses`` one row per slot and document piece: the piece starts at word
     ``doc_token`` of the document and has ``taken`` words.
     """
-    rows = materialize(sizes(docs, id_col, text_col, source_col, seed, row_col), "mix_sizes")
+    rows = materialize(sizes(docs, id_col, text_col, source_col, seed, row_cols), "mix_sizes")
     goal = materialize(targets(rows, weight, max_epochs), "mix_targets")
     pieces = segments(rows, block_tokens).withColumnRenamed("source", "s").withColumnRenamed("block", "b")
     slots = schedule(goal, block_tokens)
@@ -227,33 +239,48 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 
 def taken_per_document(docs: DataFrame, **options) -> DataFrame:
-    """``row_no, doc_id, source, size, source_size, target, taken`` of every document."""
+    """``row_no, doc_id, source, size, source_size, target, taken, first_slot, n_slots`` of every document."""
     rows, goal, uses = mix(docs, **options)
-    used = uses.groupBy(F.col("row_no").alias("r")).agg(F.sum("taken").alias("used"))
+    used = uses.groupBy(F.col("row_no").alias("r")).agg(
+        F.sum("taken").alias("used"), F.min("slot").alias("first_slot"), F.count("*").alias("slots")
+    )
     goal = goal.select(F.col("source").alias("s"), "source_size", "target")
     out = rows.join(used, F.col("row_no") == F.col("r"), "left").join(goal, _same(F.col("source"), F.col("s")))
+    whole = lambda c: F.coalesce(c, F.lit(0)).cast("long")
     return out.select(
-        "row_no", "doc_id", "source", "size", "source_size", "target", F.coalesce("used", F.lit(0)).cast("long").alias("taken")
+        "row_no",
+        "doc_id",
+        "source",
+        "size",
+        "source_size",
+        "target",
+        whole("used").alias("taken"),
+        "first_slot",
+        whole("slots").alias("n_slots"),
     )
 
 
-def mixed_documents(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
-    """The documents of the mix with their own columns: whole copies and, last, a cut copy.
+def mixed_documents(docs: DataFrame, text_col: str = "text", stored: bool = False, **options) -> DataFrame:
+    """The documents of the mix with their own columns, in slot order.
 
-    A document that the mix takes twice appears twice; one of which only a part of the
-    words is taken (at the end of a source's share) appears with its first words. A
-    document without words belongs to no block and stays once.
+    A document that the mix takes twice stands at two places; one of which only a part of
+    the words is taken (at the end of a source's share) has its first words there. A
+    document without words belongs to no block; it stays once, at the end. Texts are moved
+    to their place and then sorted; they are not stored in between. ``stored``: see ``placed_rows``.
     """
-    stored, row_no = stored_rows(docs, "mix_rows")
-    taken = taken_per_document(stored, text_col=text_col, row_col=row_no, **options).select("row_no", "size", "taken")
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    rows = stored.select(F.col(row_no).alias("_row_no"), row).join(taken, F.col("_row_no") == F.col("row_no"))
-    full = F.when(F.col("size") == 0, F.lit(1)).otherwise(F.floor(F.col("taken") / F.col("size")))
-    part = F.when(F.col("size") > 0, F.col("taken") % F.col("size")).otherwise(0)
-    whole = F.transform(F.sequence(F.lit(1), full), lambda _: F.lit(0))
-    copies = F.concat(F.when(full > 0, whole).otherwise(F.expr("array()")), F.when(part > 0, F.array(part)).otherwise(F.expr("array()")))
-    rows = rows.select("_row", F.explode(copies).alias("_words"))
+    texts, place = placed_rows(docs, "mix_rows", stored)
+    rows, _, uses = mix(texts, text_col=text_col, row_cols=place, **options)
+    begins = F.min(F.struct("doc_token", "slot"))["slot"].alias("slot")
+    copies = uses.groupBy("row_no", "epoch").agg(begins, F.sum("taken").alias("words"))
+    blank = rows.where("size = 0").select("row", F.lit(None).cast("long").alias("slot"), F.lit(0).cast("long").alias("words"))
+    copies = rows.join(copies, "row_no").select("row", "slot", F.when(F.col("words") < F.col("size"), F.col("words")).otherwise(0).alias("words"))
+    copies = materialize(copies.unionByName(blank), "mix_copies").select("row.*", F.struct("slot", "words").alias("_copy"))
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    found = texts.select(*place, own).join(copies, place).select("_row", "_copy.slot", "_copy.words")
     text = F.col(f"_row.`{text_col}`")
-    cut = F.array_join(F.slice(words_of(text), 1, F.col("_words").cast("int")), " ")
-    row = F.col("_row").withField(f"`{text_col}`", F.when(F.col("_words") == 0, text).otherwise(cut))
-    return rows.select(row.alias("_row")).select("_row.*")
+    cut = F.array_join(F.slice(words_of(text), 1, F.col("words").cast("int")), " ")
+    row = F.col("_row").withField(f"`{text_col}`", F.when(F.col("words") == 0, text).otherwise(cut))
+    order = [F.col("slot").asc_nulls_last(), F.col("at")]
+    # Documents whose beginning lies in one block share its slot; a hash orders them.
+    laid = found.select("slot", F.xxhash64("_row").alias("at"), row.alias("_row"))
+    return laid.repartitionByRange(*order).sortWithinPartitions(*order).select("_row.*")

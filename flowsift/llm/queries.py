@@ -38,8 +38,9 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose sets of 3-word shingles are similar by 85 % or more."""
-    found = near_dedup.find_groups(read_table(spark, sf_dir, "documents"), length=3, percent=85)
-    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    found = near_dedup.find_groups(read_table(spark, sf_dir, "documents"), length=3, percent=85, stored=True)
+    first = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return found.select("doc_id", "n_shingles", "component_id", first.alias("kept"))
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,7 +84,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes from every document."""
     taken = mixing.taken_per_document(read_table(spark, sf_dir, "documents"))
-    return taken.select("doc_id", "size", "source_size", "target", "taken")
+    return taken.select("doc_id", "size", "source_size", "target", "taken", "first_slot", "n_slots")
 
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -241,8 +242,8 @@ def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_bpe.round_trip(read_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
-# Sources that stop at their limit are found by repeated passes here, and what a
-# document gives by its place on its source's line.
+# Sources that stop at their limit are found by repeated passes here. Points are exact in
+# 128-bit numbers; a slot takes the block of its rank, and slots that are missing come last.
 OP9_SQL = """
 WITH RECURSIVE d AS (
   SELECT doc_id, source,
@@ -261,15 +262,47 @@ pass AS (
                          / sum(weight) FILTER (NOT p.level * weight > 3 * source_size) FROM s, t GROUP BY t.total)
   FROM pass p WHERE step < 40),
 goal AS (
-  SELECT source, source_size, least(CAST(3 * source_size AS DOUBLE), weight * (SELECT max(level) FROM pass)) AS target FROM s),
+  SELECT source, CAST(source_size AS BIGINT) AS source_size, least(CAST(3 * source_size AS DOUBLE), weight * (SELECT max(level) FROM pass)) AS target FROM s),
+line AS (
+  SELECT *, CAST(floor(target) AS BIGINT) AS n, sum(target) OVER (ORDER BY source NULLS LAST ROWS UNBOUNDED PRECEDING) AS upto,
+         sum(target) OVER () AS whole, CAST(ceil(source_size / 256) AS BIGINT) AS n_blocks
+  FROM goal),
+need AS (
+  SELECT *, n // nullif(source_size, 0) * n_blocks + CAST(ceil(n % nullif(source_size, 0) / 256) AS BIGINT) AS wanted FROM line),
+points AS (
+  SELECT slot, CAST((CAST(slot + 1 AS HUGEINT) * 11400714819323198485) % 18446744073709551616 AS DOUBLE) / 18446744073709551616.0 AS x
+  FROM range(CAST((SELECT floor(max(whole) / 256) + 1 FROM line) AS BIGINT)) AS r(slot)),
+hit AS (
+  SELECT slot, source, row_number() OVER (PARTITION BY source ORDER BY slot) - 1 AS rank
+  FROM points JOIN need ON x >= (upto - target) / whole AND x < upto / whole),
+late AS (
+  SELECT source, unnest(range(coalesce(served, 0), wanted)) AS rank
+  FROM need LEFT JOIN (SELECT source AS s, count(*) AS served FROM hit GROUP BY source) ON s IS NOT DISTINCT FROM source
+  WHERE n > 0 AND coalesce(served, 0) < wanted),
+slots AS (
+  SELECT slot, source, rank FROM hit
+  UNION ALL
+  SELECT (SELECT count(*) FROM points) + row_number() OVER (ORDER BY rank, source NULLS LAST) - 1, source, rank FROM late),
+used AS (
+  SELECT slot, h.source, rank % n_blocks AS block,
+         least(256, source_size - rank % n_blocks * 256, n - (rank // n_blocks * source_size + rank % n_blocks * 256)) AS take
+  FROM slots h JOIN need g ON h.source IS NOT DISTINCT FROM g.source WHERE rank < wanted),
+goal_n AS (SELECT source, source_size, target, n FROM line),
 placed AS (
-  SELECT d.*, g.source_size, g.target, CAST(floor(g.target) AS BIGINT) AS n,
-         CAST(coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
-  FROM d JOIN goal g ON d.source IS NOT DISTINCT FROM g.source)
-SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target,
-       CASE WHEN size = 0 THEN 0
-            ELSE n // CAST(source_size AS BIGINT) * size + greatest(0, least(size, n % CAST(source_size AS BIGINT) - start)) END AS taken
-FROM placed
+  SELECT d.*, g.source_size, g.target, g.n,
+         CAST(coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY key, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
+  FROM d JOIN goal_n g ON d.source IS NOT DISTINCT FROM g.source),
+pieces AS (
+  SELECT doc_id, source, start, size, unnest(range(start // 256, (start + size - 1) // 256 + 1)) AS block FROM placed WHERE size > 0),
+taken AS (
+  SELECT doc_id, p.source, p.start, min(slot) AS first_slot, count(*) AS n_slots,
+         sum(least(p.start + size, p.block * 256 + take) - greatest(p.start, p.block * 256)) AS taken
+  FROM pieces p JOIN used u ON u.source IS NOT DISTINCT FROM p.source AND u.block = p.block
+  WHERE least(p.start + size, p.block * 256 + take) > greatest(p.start, p.block * 256)
+  GROUP BY doc_id, p.source, p.start)
+SELECT p.doc_id, p.size, p.source_size, p.target, CAST(coalesce(t.taken, 0) AS BIGINT) AS taken,
+       first_slot, CAST(coalesce(n_slots, 0) AS BIGINT) AS n_slots
+FROM placed p LEFT JOIN taken t ON p.doc_id IS NOT DISTINCT FROM t.doc_id AND p.source IS NOT DISTINCT FROM t.source AND p.start = t.start AND p.size > 0
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -45,3 +45,32 @@ def test_index_is_read_without_a_shuffle(spark, stored):
     groups = spark.createDataFrame([("x", 1)], "text_sha256 string, keep_id long").repartition(4, "text_sha256")
     plan = groups.join(index.rows().hint("merge"), "text_sha256", "left_anti")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "SortMergeJoin" in plan
+
+
+def test_interrupted_batch_is_kept_by_its_rerun(spark, stored):
+    docs = stored([(1, "a", "en", "s"), (2, "b", "en", "s"), (3, "A", "en", "s")])
+    index = DigestIndex(spark, buckets=4)
+    assert {r.doc_id for r in drop_duplicates(stored([(9, "b", "en", "s")]), index, batch="monday").collect()} == {9}
+    first = drop_duplicates(docs, index, batch="tuesday")
+    # The job dies before it reads its result; under the same name the rerun keeps the same rows.
+    del first
+    assert {r.doc_id for r in drop_duplicates(docs, index, batch="tuesday").collect()} == {3}
+    assert index.rows().count() == 2
+    # A batch that was appended in part is completed.
+    more = docs.unionByName(stored([(5, "c", "en", "s")]))
+    assert {r.doc_id for r in drop_duplicates(more, index, batch="tuesday").collect()} == {3, 5}
+    assert index.rows().count() == 3
+    assert drop_duplicates(docs, index, batch="wednesday").count() == 0
+
+
+def test_own_index_leaves_no_table(spark, stored):
+    before = {t.name for t in spark.catalog.listTables()}
+    find_duplicates(stored([(1, "a", "en", "s")])).collect()
+    assert {t.name for t in spark.catalog.listTables()} == before
+
+
+def test_rows_of_a_stored_table_need_no_copy(stored):
+    docs = stored([(i, t, "en", "s") for i, t in ROWS])
+    for kept in (drop_duplicates(docs, stored=True), drop_duplicates(docs.where("lang = 'en'"), stored=True)):
+        assert sorted(map(str, kept.collect())) == sorted(map(str, drop_duplicates(docs).collect()))
+        assert kept.columns == docs.columns

@@ -68,3 +68,27 @@ def test_mixed_documents_hold_the_words_taken(spark, stored):
         taken[r.source] += r.taken
     assert +words == +taken
     assert mixing.taken_per_document(stored([])).count() == 0
+
+
+def test_every_stretch_of_the_mix_holds_the_shares(spark, stored):
+    docs = stored([(i, f"{i} " + "w " * (i % 40 + 1), "en", f"s{i % 4}") for i in range(1200)])
+    goal = {r.source: r.target for r in mixing.mix(docs, block_tokens=16)[1].collect()}
+    mixed = mixing.mixed_documents(docs, block_tokens=16, stored=True).collect()
+    assert len(mixed) > 1200
+    whole, seen, total = sum(goal.values()), Counter(), 0
+    for k, r in enumerate(mixed):
+        seen[r.source] += len(r.text.split())
+        total += len(r.text.split())
+        if k % 50 == 49:
+            # A document stands where it begins, so a source is off by a few documents and blocks at most.
+            assert all(abs(seen[s] - goal[s] / whole * total) < 250 for s in goal)
+    found = mixing.taken_per_document(docs, block_tokens=16).collect()
+    assert all((r.taken > 0) == (r.first_slot is not None) == (r.n_slots > 0) for r in found)
+    assert all(r.n_slots >= -(-r.taken // 16) for r in found)
+
+
+def test_null_ids_do_not_share_a_bucket(spark, stored):
+    docs = stored([(None, "w " * (k % 30 + 1), "en", "one") for k in range(600)], parts=8)
+    rows = mixing.mix(docs, block_tokens=16)[0].where("size > 0").withColumn("bucket", mixing._piece())
+    assert rows.groupBy("bucket").count().agg({"count": "max"}).first()[0] < 100
+    assert sum(r.taken for r in mixing.taken_per_document(docs, block_tokens=16).collect()) > 0
