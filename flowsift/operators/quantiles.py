@@ -1,257 +1,107 @@
-"""Exact quantiles with bounded memory.
-
-``percentile`` keeps every distinct value of a group in one aggregation buffer.
-That is fine for small inputs and impossible for large ones. Beyond a row limit
-the value is bracketed instead: a mergeable sketch gives two values around the
-wanted rank, the next pass counts exactly how many rows lie below and inside the
-bracket, and the bracket shrinks until what is inside is small. Each pass is one
-partial + final aggregation over the input; only summaries reach the driver.
+"""Exact quantiles by radix selection, in one way at every size.
+
+Each value has a 64-bit image that sorts as the doubles do. A pass counts, per group and
+column, how many values fall on each digit of ``DIGIT_BITS`` bits; the running count tells
+which digit holds a wanted rank, and the next pass looks only at values with that digit.
+Four passes read all bits; most columns are done earlier, once the values left for every
+rank are equal. Counts are combined before they are shuffled, and a digit's histogram has
+at most ``2 ** DIGIT_BITS`` rows. What is wanted and what is known of it are tables, joined
+by group and column, so neither the number of groups nor that of rows is limited.
 """
 
 from __future__ import annotations
 
-import math
-from dataclasses import dataclass
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-EXACT_ROWS = 100_000
-# Steps and accuracy of the sketches: coarse and cheap over all rows, fine over
-# the rows of a bracket that is still large.
-COARSE = (200, 2_000)
-FINE = (1_000, 10_000)
-MAX_GROUPS = 1_000
-_ROUNDS = 40
-
-
-@dataclass
-class _Target:
-    """One wanted quantile of one column in one group."""
+from flowsift.functions.ordering import from_image, order_image
+from flowsift.storage import materialize
 
-    n: int
-    least: float
-    most: float
-    rank: int  # 0-based rank of the lower neighbour
-    upper: int  # 0-based rank of the upper neighbour
-    weight: float  # share of the upper neighbour
-    low: float  # every wanted rank lies in [low, high]
-    high: float
-    expected: float  # rows expected between low and high
-    inside: int = -1  # rows strictly between low and high, once counted
-    below: int = -1  # rows < low
-    at_low: int = -1  # rows == low
-    values: list | None = None  # both neighbours, once known
+DIGIT_BITS = 16
+_PASSES = 64 // DIGIT_BITS
+_KEY = ["g", "c"]
 
-    def edge_value(self, rank: int):
-        """Value at ``rank`` if it sits on an edge of the counted bracket."""
-        if self.inside < 0:
-            return None
-        if rank < self.below + self.at_low:
-            return self.low
-        if rank >= self.below + self.at_low + self.inside:
-            return self.high
-        return None
 
-    @property
-    def is_open(self) -> bool:
-        return self.edge_value(self.rank) is None or self.edge_value(self.upper) is None
-
-    def move(self, low: float, high: float, expected: float) -> None:
-        self.low, self.high, self.expected, self.inside = low, high, expected, -1
+def _values(df: DataFrame, names: list[str], group: str | None) -> DataFrame:
+    """``g, c, v``: group as text that tells null apart, number of the column, image of the value."""
+    key = F.lit("") if group is None else F.coalesce(F.concat(F.lit("="), F.col(group).cast("string")), F.lit(""))
+    images = [order_image(F.col(f"`{c}`").cast("double")).alias(f"v{i}") for i, c in enumerate(names)]
+    wide = df.select(key.alias("g"), *images)
+    cells = F.array(*[F.struct(F.lit(i).alias("c"), F.col(f"v{i}").alias("v")) for i in range(len(names))])
+    return wide.select("g", F.inline(cells).alias("c", "v"))
 
 
-def _sketch(value: str, size: tuple[int, int]) -> str:
-    """SQL for evenly spaced approximate quantiles, both ends included; as text,
-    since a list of that many literals is slow to hand over one by one."""
-    grid, accuracy = size
-    steps = ", ".join(f"{j / grid!r}D" for j in range(grid + 1))
-    return f"percentile_approx({value}, array({steps}), {accuracy})"
+def _histogram(values: DataFrame, keys: list[str], level: int) -> DataFrame:
+    """Rows per digit of the given level, and whether they are all equal."""
+    digit = F.shiftright("v", 64 - DIGIT_BITS * (level + 1))
+    counted = values.groupBy(*keys, digit.alias("next")).agg(F.count("v").alias("n"), F.min("v").alias("least"), F.max("v").alias("most"))
+    return materialize(counted, "digits")
 
 
-def _clean(column: str) -> Column:
-    value = F.col(column).cast("double")
-    return F.when(~F.isnan(value), value)
+def _select(wanted: DataFrame, digits: DataFrame, keys: list[str]) -> DataFrame:
+    """The digit of every wanted rank, with what lies below it: ``rank`` counts from its start."""
+    below = Window.partitionBy(*keys).orderBy("next").rowsBetween(Window.unboundedPreceding, -1)
+    placed = digits.where("n > 0").withColumn("below", F.coalesce(F.sum("n").over(below), F.lit(0)))
+    inside = (F.col("rank") >= F.col("below")) & (F.col("rank") < F.col("below") + F.col("n"))
+    found = wanted.join(placed, keys).where(inside)
+    return found.select(*_KEY, "place", (F.col("rank") - F.col("below")).alias("rank"), F.col("next").alias("digit"), "least", "most")
 
 
-def exact_quantiles(
-    df: DataFrame,
-    columns: dict[str, list[float]],
-    group: str | None = None,
-    exact_rows: int = EXACT_ROWS,
-) -> dict:
-    """Quantiles with linear interpolation, nulls and NaN skipped.
+def quantile_table(df: DataFrame, columns: dict[str, list[float]], group: str | None = None) -> DataFrame:
+    """``grp, column, p, n, value``: quantiles with linear interpolation; nulls and NaN are skipped.
 
-    Returns ``{group value: {column: [value per probability]}}``, with ``None``
-    as the only group when ``group`` is not given. An all-null column gives
-    ``None`` values. Groups are a dimension (labels), checked against
-    ``MAX_GROUPS`` because their brackets are held by the driver.
+    ``grp`` is the group as text (null without ``group``). A group without values has null
+    quantiles, an empty table no rows. ``df`` is read up to four times: pass a stored table
+    if it is dear to compute.
     """
     names = list(columns)
-    key = F.lit("") if group is None else F.coalesce(F.concat(F.lit("="), F.col(group).cast("string")), F.lit(""))
-    base = df.select(key.alias("__g"), *[_clean(c).alias(f"c{i}") for i, c in enumerate(names)])
-    first = (
-        base.groupBy("__g")
-        .agg(
-            *[F.count(f"c{i}").alias(f"n{i}") for i in range(len(names))],
-            *[F.min(f"c{i}").alias(f"lo{i}") for i in range(len(names))],
-            *[F.max(f"c{i}").alias(f"hi{i}") for i in range(len(names))],
-            *[F.expr(_sketch(f"c{i}", COARSE)).alias(f"q{i}") for i in range(len(names))],
-        )
-        .limit(MAX_GROUPS + 1)
-        .collect()
-    )
-    if len(first) > MAX_GROUPS:
-        raise ValueError(f"exact_quantiles: more than {MAX_GROUPS} groups in {group}")
-    largest = max((row[f"n{i}"] for row in first for i in range(len(names))), default=0)
-    if largest <= exact_rows:
-        found = _small_quantiles(base, list(columns.values()))
-    else:
-        found = _bracketed_quantiles(base, list(columns.values()), first, exact_rows)
-    return {
-        (None if not g else g[1:]): {c: by_column[i] for i, c in enumerate(names)} for g, by_column in found.items()
-    }
-
-
-def _small_quantiles(base: DataFrame, wanted: list[list[float]]) -> dict:
-    """At most ``exact_rows`` values per buffer: the built-in aggregate does."""
-    rows = base.groupBy("__g").agg(*[F.percentile(f"c{i}", ps).alias(f"c{i}") for i, ps in enumerate(wanted)])
-    return {
-        r["__g"]: [list(r[f"c{i}"]) if r[f"c{i}"] is not None else [None] * len(ps) for i, ps in enumerate(wanted)]
-        for r in rows.collect()
-    }
-
-
-def _bracketed_quantiles(base: DataFrame, wanted: list[list[float]], first: list, exact_rows: int) -> dict:
-    state: dict = {}
-    for row in first:
-        for i, ps in enumerate(wanted):
-            if row[f"n{i}"]:
-                for p in ps:
-                    state[row["__g"], i, p] = _start(row[f"n{i}"], p, row[f"lo{i}"], row[f"hi{i}"], row[f"q{i}"])
-    for _ in range(_ROUNDS):
-        todo = {k: t for k, t in state.items() if t.values is None}
-        if not todo:
+    values = _values(df, names, group)
+    digits = _histogram(values, _KEY, 0)
+    sizes = materialize(digits.groupBy(*_KEY).agg(F.sum("n").alias("n")), "quantile-sizes")
+    ps = [F.struct(F.lit(i).alias("c"), F.array(*map(F.lit, map(float, columns[c]))).alias("ps")) for i, c in enumerate(names)]
+    of_column = F.element_at(F.transform(F.array(*ps), lambda x: x["ps"]), F.col("c") + 1)
+    asked = sizes.select("*", F.explode(of_column).alias("p"))
+    position = (F.col("n") - 1) * F.col("p")
+    lower = F.floor(position)
+    asked = asked.withColumns({"lower": lower, "upper": F.least(lower + 1, F.col("n") - 1), "weight": position - lower})
+    ranks = asked.where("n > 0").select(*_KEY, F.explode(F.array("lower", "upper")).alias("place")).distinct()
+    wanted = ranks.withColumn("rank", F.col("place"))
+    state, done = materialize(_select(wanted, digits, _KEY), "ranks"), []
+    for level in range(1, _PASSES):
+        done.append(state.where("least = most"))
+        open_ranks = state.where("least <> most")
+        if open_ranks.isEmpty():
             break
-        _count_round(base, todo, exact_rows)
-        for t in todo.values():
-            if t.inside >= 0 and not t.is_open:
-                t.values = [t.edge_value(t.rank), t.edge_value(t.upper)]
-        ready = {k: t for k, t in todo.items() if t.values is None and 0 <= t.inside <= exact_rows}
-        if ready:
-            _finish(base, ready)
+        # Values that share the digits found so far with an open rank of their group and column.
+        heads = open_ranks.select(*_KEY, "digit").distinct()
+        kept = values.withColumn("digit", F.shiftright("v", 64 - DIGIT_BITS * level)).join(heads, [*_KEY, "digit"])
+        keys = [*_KEY, "digit"]
+        digits = _histogram(kept, keys, level)
+        state = materialize(_select(open_ranks.drop("least", "most"), digits, keys), "ranks")
     else:
-        raise RuntimeError("exact_quantiles: brackets did not converge")
-    out = {row["__g"]: [[None] * len(ps) for ps in wanted] for row in first}
-    for (g, i, p), t in state.items():
-        low, high = t.values
-        out[g][i][wanted[i].index(p)] = low if low == high else low + (high - low) * t.weight
-    return out
+        done.append(state)
+    found = done[0]
+    for more in done[1:]:
+        found = found.unionByName(more)
+    found = materialize(found.select(*_KEY, "place", from_image(F.col("least")).alias("value")), "found-ranks")
+    ends = [found.select(*_KEY, F.col("place").alias(end), F.col("value").alias(f"{end}_value")) for end in ("lower", "upper")]
+    out = asked.join(ends[0], [*_KEY, "lower"], "left").join(ends[1], [*_KEY, "upper"], "left")
+    low, high = F.col("lower_value"), F.col("upper_value")
+    value = F.when(low == high, low).otherwise(low + (high - low) * F.col("weight"))
+    column = F.element_at(F.array(*map(F.lit, names)), F.col("c") + 1)
+    grp = F.when(F.col("g") != "", F.substring("g", 2, 2**31 - 1))
+    return out.select(grp.alias("grp"), column.alias("column"), "p", "n", value.alias("value"))
 
 
-def _start(n: int, p: float, least: float, most: float, grid: list[float]) -> _Target:
-    position = (n - 1) * p
-    rank = int(math.floor(position))
-    upper = min(rank + 1, n - 1)
-    steps = len(grid) - 1
-    a, b = int(rank / n * steps) - 1, int(rank / n * steps) + 2
-    low, high = grid[a] if a >= 0 else least, grid[b] if b <= steps else most
-    return _Target(n, least, most, rank, upper, position - rank, low, high, 4 * n / steps)
-
-
-def _slots(targets: dict) -> list:
-    """Columns and probabilities that still need work, in a fixed order."""
-    return sorted({(i, p) for _, i, p in targets})
-
-
-def _with_brackets(base: DataFrame, targets: dict, slots: list) -> DataFrame:
-    """Add the bracket of the row's group per slot: ``low<j>``, ``high<j>``, and
-    the places ``a<j>``, ``z<j>`` of the wanted ranks among the sorted inner rows."""
-    groups = sorted({g for g, _, _ in targets})
-    fields = {"low": "double", "high": "double", "a": "int", "z": "int"}
-
-    def cell(g, j):
-        t = targets.get((g, *slots[j]))
-        if t is None:
-            return [None] * 4
-        places = [min(max(r - t.below - t.at_low, 0), max(t.inside - 1, 0)) + 1 for r in (t.rank, t.upper)]
-        return [t.low, t.high, *(places if t.inside >= 0 else [None, None])]
-
-    schema = ", ".join(f"{name}{j} {kind}" for j in range(len(slots)) for name, kind in fields.items())
-    rows = [(g, *[v for j in range(len(slots)) for v in cell(g, j)]) for g in groups]
-    if groups == [""]:
-        names = [f"{name}{j}" for j in range(len(slots)) for name in fields]
-        return base.withColumns(
-            {n: F.lit(v) if v is not None else F.lit(None).cast("int") for n, v in zip(names, rows[0][1:])}
-        )
-    # At most MAX_GROUPS rows, made by the driver itself.
-    table = base.sparkSession.createDataFrame(rows, f"__g string, {schema}")
-    return base.join(F.broadcast(table), "__g")
-
-
-def _count_round(base: DataFrame, todo: dict, exact_rows: int) -> None:
-    """Count rows around every open bracket and move or shrink the bracket."""
-    slots = _slots(todo)
-    bracketed = _with_brackets(base, todo, slots)
-    aggs, inner = [], {}
-    wide = {(i, p) for (_, i, p), t in todo.items() if t.expected > exact_rows / 2}
-    for j, (i, p) in enumerate(slots):
-        x, low, high = F.col(f"c{i}"), F.col(f"low{j}"), F.col(f"high{j}")
-        aggs += [
-            F.sum((x < low).cast("bigint")).alias(f"b{j}"),
-            F.sum((x <= low).cast("bigint")).alias(f"l{j}"),
-            F.sum((x < high).cast("bigint")).alias(f"i{j}"),
-            F.sum((x <= high).cast("bigint")).alias(f"h{j}"),
-        ]
-        if (i, p) in wide:  # more rows inside than one task should sort
-            inner[f"in{j}"] = F.when((x > low) & (x < high), x)
-            aggs.append(F.expr(_sketch(f"in{j}", FINE)).alias(f"q{j}"))
-    for row in bracketed.withColumns(inner).groupBy("__g").agg(*aggs).collect():
-        for j, (i, p) in enumerate(slots):
-            t = todo.get((row["__g"], i, p))
-            if t is None:
-                continue
-            below, to_low, to_inside, to_high = (row[f"{x}{j}"] or 0 for x in "blih")
-            if t.rank < below:  # the sketch missed: look below
-                t.move(t.least, t.low, below)
-            elif t.upper >= to_high:  # or above
-                t.move(t.high, t.most, t.n - to_high)
-            else:
-                t.below, t.at_low, t.inside = below, to_low - below, max(to_inside - to_low, 0)
-                if t.is_open and t.inside > exact_rows:
-                    if (i, p) in wide:
-                        _shrink(t, row[f"q{j}"])
-                    else:
-                        t.move(t.low, t.high, t.inside)
-
-
-def _shrink(t: _Target, grid: list[float]) -> None:
-    start = t.below + t.at_low
-    first, last = (min(max(r - start, 0), t.inside - 1) for r in (t.rank, t.upper))
-    steps = len(grid) - 1
-    a, b = int(first / t.inside * steps) - 1, int(last / t.inside * steps) + 2
-    # A rank outside the inner rows sits on an edge, so that edge stays.
-    low = t.low if t.rank < start or a < 0 else grid[a]
-    high = t.high if t.upper >= start + t.inside or b > steps else grid[b]
-    t.move(low, high, t.inside * (b - a + 1) / steps)
-
+def exact_quantiles(
+    df: DataFrame, columns: dict[str, list[float]], group: str | None = None, exact_rows: int | None = None
+) -> dict:
+    """:func:`quantile_table` on the driver: ``{group value: {column: [value per probability]}}``.
 
-def _finish(base: DataFrame, ready: dict) -> None:
-    """Fetch the wanted ranks; at most ``exact_rows`` values lie in each bracket."""
-    slots = _slots(ready)
-    bracketed = _with_brackets(base, ready, slots)
-    # Where a group's bracket is not ready it has no bounds, so nothing is collected.
-    inner = {
-        f"in{j}": F.when((F.col(f"c{i}") > F.col(f"low{j}")) & (F.col(f"c{i}") < F.col(f"high{j}")), F.col(f"c{i}"))
-        for j, (i, _) in enumerate(slots)
-    }
-    picks = []
-    for j in range(len(slots)):
-        values = F.sort_array(F.collect_list(f"in{j}"))
-        picks += [F.try_element_at(values, F.first(f"{end}{j}")).alias(f"{end}{j}") for end in ("a", "z")]
-    for row in bracketed.withColumns(inner).groupBy("__g").agg(*picks).collect():
-        for j, slot in enumerate(slots):
-            t = ready.get((row["__g"], *slot))
-            if t:
-                low, high = t.edge_value(t.rank), t.edge_value(t.upper)
-                t.values = [row[f"a{j}"] if low is None else low, row[f"z{j}"] if high is None else high]
+    ``None`` is the only group when ``group`` is not given. For a few groups; a table of many
+    stays a table. ``exact_rows`` chose between two ways once and has no effect.
+    """
+    rows = quantile_table(df, columns, group).collect()
+    known = {(r["grp"], r["column"], r["p"]): r["value"] for r in rows}
+    groups = dict.fromkeys(r["grp"] for r in rows)
+    return {g: {c: [known.get((g, c, float(p))) for p in ps] for c, ps in columns.items()} for g in groups}

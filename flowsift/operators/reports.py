@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from flowsift.operators.evaluate import per_attack_recall
 from flowsift.operators.forest import flag_alerts
-from flowsift.operators.quantiles import exact_quantiles
+from flowsift.operators.quantiles import exact_quantiles, quantile_table
 from flowsift.schema import BENIGN, THRESHOLD_PRESETS, THRESHOLD_RANGE
+from flowsift.storage import materialize
 
 QUEUE_COLUMNS = [
     "flow_id",
@@ -139,25 +140,31 @@ def column_summary(df: DataFrame, columns: list[str]) -> DataFrame:
 def box_statistics(df: DataFrame, measures: list[str], group: str = "label") -> DataFrame:
     """Quartiles and 1.5 IQR whiskers of each measure per group, long form.
 
-    Quartiles are exact; the whiskers are the extreme rows inside the fences,
-    found in one more aggregation with the fences as literals per group.
+    Quartiles are exact; the whiskers are the extreme rows inside the fences, found in one
+    more aggregation over the rows joined with the fences of their group. Fences are a
+    table, so the number of groups is not limited; Spark broadcasts it where it is small.
     """
-    quartiles = exact_quantiles(df, {m: [0.25, 0.5, 0.75] for m in measures}, group=group)
-    rows = [
-        (g, m, *q, q[0] - 1.5 * (q[2] - q[0]), q[2] + 1.5 * (q[2] - q[0]))
-        for g, by_measure in quartiles.items()
-        for m, q in by_measure.items()
-        if q[0] is not None
-    ]
-    fences = df.sparkSession.createDataFrame(
-        rows, f"{group} string, measure string, q25 double, q50 double, q75 double, low double, high double"
+    quartiles = quantile_table(df, {m: [0.25, 0.5, 0.75] for m in measures}, group=group)
+    q = lambda p: F.max(F.when(F.col("p") == p, F.col("value")))
+    fences = quartiles.groupBy("grp", "column").agg(q(0.25).alias("q25"), q(0.5).alias("q50"), q(0.75).alias("q75"))
+    reach = 1.5 * (F.col("q75") - F.col("q25"))
+    fences = materialize(
+        fences.where("q25 IS NOT NULL").select(
+            F.col("grp").alias(group),
+            F.col("column").alias("measure"),
+            "q25",
+            "q50",
+            "q75",
+            (F.col("q25") - reach).alias("low"),
+            (F.col("q75") + reach).alias("high"),
+        ),
+        "fences",
     )
     pivoted = fences.groupBy(group).agg(
         *[F.max(F.when(F.col("measure") == m, F.struct("low", "high"))).alias(f"__{m}") for m in measures]
     )
-    # One row per group, at most MAX_GROUPS rows by the check in exact_quantiles.
-    fenced = F.broadcast(pivoted.withColumnRenamed(group, "__group"))
-    joined = df.select(group, *measures).join(fenced, F.col(group).eqNullSafe(F.col("__group")))
+    fenced = pivoted.withColumnRenamed(group, "__group")
+    joined = df.select(group, *measures).join(fenced, F.col(group).cast("string").eqNullSafe(F.col("__group")))
 
     def inside(m: str) -> Column:
         return F.when(F.col(m).between(F.col(f"__{m}.low"), F.col(f"__{m}.high")), F.col(m))
@@ -170,7 +177,7 @@ def box_statistics(df: DataFrame, measures: list[str], group: str = "label") ->
     )
     long = ends.select(group, F.explode(F.array(*measures)).alias("r")).select(group, "r.*")
     known = fences.drop("low", "high").withColumnRenamed(group, "__group").withColumnRenamed("measure", "__measure")
-    same = F.col(group).eqNullSafe(F.col("__group")) & (F.col("measure") == F.col("__measure"))
+    same = F.col(group).cast("string").eqNullSafe(F.col("__group")) & (F.col("measure") == F.col("__measure"))
     return long.join(known, same).drop("__group", "__measure")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from flowsift.functions.features import feature_columns
 from flowsift.operators.features import extract_features
-from flowsift.operators.quantiles import EXACT_ROWS, exact_quantiles
+from flowsift.operators.quantiles import exact_quantiles
 from flowsift.schema import FLAG_FEATURES, NUMERIC_FEATURES
 
 SCALER_TYPES = ("robust", "standard")
@@ -19,14 +19,13 @@ class FlowScaler:
 
     ``robust``: median and interquartile range. ``standard``: mean and
     population standard deviation. A zero scale becomes 1. The fitted state is
-    eight rows, so it travels as literals in the projection.
+    eight rows, so it travels as literals in the projection. ``exact_rows`` has no effect.
     """
 
-    def __init__(self, scaler_type: str = "robust", exact_rows: int = EXACT_ROWS):
+    def __init__(self, scaler_type: str = "robust", exact_rows: int | None = None):
         if scaler_type not in SCALER_TYPES:
             raise ValueError(f"{scaler_type!r} is Unsupported; the scalers are {', '.join(SCALER_TYPES)}")
         self.scaler_type = scaler_type
-        self.exact_rows = exact_rows
         self.stats: dict[str, tuple[float, float]] | None = None
 
     def fit(self, flows: DataFrame, y=None) -> FlowScaler:
@@ -37,7 +36,7 @@ class FlowScaler:
 
     def _fit_robust(self, features: DataFrame) -> dict:
         wanted = {c: [0.25, 0.5, 0.75] for c in NUMERIC_FEATURES}
-        by_column = exact_quantiles(features, wanted, exact_rows=self.exact_rows).get(None)
+        by_column = exact_quantiles(features, wanted).get(None)
         if not by_column or any(q[1] is None for q in by_column.values()):
             raise ValueError("scaler needs at least one row with features")
         return {c: (q[1], q[2] - q[0]) for c, q in by_column.items()}

@@ -4,10 +4,13 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from flowsift.functions.ordering import from_image, order_image
+from flowsift.operators import reports
 from flowsift.operators.features import extract_features
-from flowsift.operators.quantiles import exact_quantiles
+from flowsift.operators.quantiles import exact_quantiles, quantile_table
 from flowsift.operators.scaling import FlowScaler
 from flowsift.schema import FEATURES, NUMERIC_FEATURES
+from flowsift.storage import materialize
 
 
 def test_order_and_zero_duration(make_flows):
@@ -93,6 +96,38 @@ def test_grouped_quantiles_and_shrinking_brackets(spark):
         assert got[name]["x"] == pytest.approx(np.percentile(part, np.array(PS) * 100).tolist(), rel=1e-12)
 
 
+def test_images_sort_as_doubles(spark):
+    rng = np.random.default_rng(5)
+    bits = rng.integers(-(2**63), 2**63 - 1, 4000, dtype=np.int64).view(np.float64)
+    x = np.concatenate([bits[np.isfinite(bits)], rng.normal(0, 1, 500), [2.0**k for k in range(-1074, 1024)], [-(2.0**k) for k in range(-1074, 1024)],
+                        [0.0, -0.0, math.inf, -math.inf, 5e-324, 2.0**-1022, np.nextafter(2.0**-1022, 0), 1.7976931348623157e308]])
+    x = np.concatenate([x, np.nextafter(x, 0)])
+    df = spark.createDataFrame([(float(v),) for v in x], "x double")
+    got = df.select("x", order_image(F.col("x")).alias("i"), from_image(order_image(F.col("x"))).alias("back")).toPandas()
+    assert (got.x == got.back).all()
+    want = np.where(x < 0, -1, 1) * np.abs(got.x.to_numpy()).view(np.int64)
+    assert (got.i.to_numpy() == np.where(got.x == 0, 0, want)).all()
+    odd = spark.createDataFrame([(None,), (float("nan"),)], "x double")
+    assert odd.select(order_image(F.col("x"))).distinct().collect()[0][0] is None
+
+
+def test_thousands_of_groups(spark):
+    df = spark.range(60_000).select(
+        (F.col("id") % 5000).alias("g"), (F.xxhash64("id") % 1000 / 7.0).alias("x"), F.when(F.col("id") % 3 == 0, F.col("id")).alias("y")
+    )
+    df = materialize(df, "groups")
+    got = quantile_table(df, {"x": PS, "y": [0.5]}, "g").toPandas()
+    assert len(got) == 5000 * (len(PS) + 1)
+    pdf = df.toPandas()
+    want = pdf.groupby("g").x.quantile(PS)
+    mine = got[got.column == "x"].assign(grp=lambda d: d.grp.astype(int)).set_index(["grp", "p"]).value.sort_index()
+    assert np.allclose(mine.to_numpy(), want.sort_index().to_numpy(), rtol=1e-12)
+    medians = got[got.column == "y"].assign(grp=lambda d: d.grp.astype(int)).set_index("grp").value.sort_index()
+    assert np.allclose(medians.to_numpy(), pdf.groupby("g").y.quantile(0.5).to_numpy(), equal_nan=True)
+    boxes = reports.box_statistics(df.select(F.col("g").cast("string"), "x"), ["x"], group="g")
+    assert boxes.count() == 5000
+
+
 def test_empty_and_all_null(spark):
     df = spark.createDataFrame([(None,)], "x double")
     assert exact_quantiles(df, {"x": [0.5]})[None]["x"] == [None]
