@@ -12,6 +12,7 @@ from flowsift.operators.forest import (
     IsolationForest,
     _dense,
     _grow,
+    _joined_trees,
     _mean_path,
     average_path,
     calibrate_threshold,
@@ -103,6 +104,29 @@ def test_sample_is_exact_and_repeatable(spark):
         assert sorted(map(tuple, one.values)) == sorted(map(tuple, two.values))
 
 
+@pytest.mark.parametrize("n", [1, 255, 256, 300, 390, 2000, 400_000])
+def test_one_rule_at_every_size(spark, n):
+    config = ForestConfig(n_trees=40)
+    keys = spark.range(n).select(F.col("id").cast("string").alias("k"))
+    sample = sample_per_tree(keys, "k", config).toPandas()
+    assert (sample.groupby("tree_id").size() == min(n, 256)).all() and sample.tree_id.nunique() == 40
+    assert not sample.duplicated().any()
+
+
+def test_rows_join_few_trees(spark):
+    """Candidates are about 1.5 samples a tree, evenly over trees and independent of each other."""
+    trees, n = 150, 100_000
+    joined = _joined_trees(F.col("id"), 1.5 * 256 / n, trees, 42)
+    rows = spark.range(n).select("id", joined.alias("t")).where("t IS NOT NULL")
+    drawn = rows.select("id", F.explode("t").alias("t")).toPandas()
+    assert len(drawn) <= 2 * trees * 256 and not drawn.duplicated().any()
+    per_tree = drawn.groupby("t").size()
+    assert len(per_tree) == trees and per_tree.min() > 300 and per_tree.max() < 470
+    many = spark.range(3000).select(F.explode(_joined_trees(F.col("id"), 0.3, 50, 1)).alias("t"), "id").toPandas()
+    together = many[many.t == 3].merge(many[many.t == 4], on="id")
+    assert abs(len(together) / 3000 - 0.09) < 0.02 and abs(len(many) / 150_000 - 0.3) < 0.01
+
+
 def test_unfitted_model_and_explainer():
     with pytest.raises(RuntimeError, match="fitted"):
         IsolationForest().raw_score()
