@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from flowsift.operators.running import running_totals
 from flowsift.schema import BENIGN, DAILY_FLOWS, TRADEOFF_STEPS
+from flowsift.storage import materialize
 
-MAX_LABELS = 10_000
+# A caller that knows how many attack labels there can be may set a limit: more are an error then.
+MAX_LABELS: int | None = None
 SCORE, TRUTH = "anomaly_score", "is_anomaly"
 
 
@@ -52,12 +54,31 @@ def rounded_rates(matrix: DataFrame) -> DataFrame:
     )
 
 
+def score_counts(scored: DataFrame, score: str = SCORE, truth: str = TRUTH) -> DataFrame:
+    """One stored row per distinct score: rows, attacks and rows whose truth is known."""
+    attack = F.col(truth)
+    counts = scored.groupBy(F.col(score).alias("threshold")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(attack.cast("bigint")).alias("p"), F.count(attack).alias("known")
+    )
+    return materialize(counts, "score-counts")
+
+
 def score_curve(scored: DataFrame, score: str = SCORE, truth: str = TRUTH) -> DataFrame:
     """One row per distinct score, highest first: rows, attacks and their running totals."""
-    per_score = scored.groupBy(F.col(score).alias("threshold")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col(truth).cast("bigint")).alias("p")
-    )
-    return running_totals(per_score, "threshold", ["n", "p"], descending=True)
+    return curve_of_counts(score_counts(scored, score, truth))
+
+
+def curve_of_counts(counts: DataFrame) -> DataFrame:
+    """The curve of :func:`score_counts`, which is all that it reads."""
+    return running_totals(counts.drop("known"), "threshold", ["n", "p"], descending=True, stored=True)
+
+
+def confusion_of_counts(counts: DataFrame, threshold: float) -> DataFrame:
+    """The confusion row of :func:`score_counts`."""
+    hit = F.col("threshold") >= F.lit(float(threshold))
+    p, clean = F.coalesce("p", F.lit(0)), F.col("known") - F.coalesce("p", F.lit(0))
+    cells = {"tn": (~hit, clean), "fp": (hit, clean), "fn": (~hit, p), "tp": (hit, p)}
+    return counts.agg(*[F.coalesce(F.sum(F.when(rows, n)), F.lit(0)).alias(c) for c, (rows, n) in cells.items()])
 
 
 def ranking_quality(curve: DataFrame) -> DataFrame:
@@ -217,10 +238,12 @@ def evaluate_detection(
 ) -> DataFrame:
     """The metrics document: one nested row.
 
-    ``scored`` is read several times, so pass a stored table.
+    ``scored`` is read twice: once for counts per distinct score, from which all but the
+    per-attack map follows, and once for that map, which has one entry per attack label.
     """
-    matrix = confusion(scored, threshold, score, truth)
-    quality = ranking_quality(score_curve(scored, score, truth))
+    counts = score_counts(scored, score, truth)
+    matrix = confusion_of_counts(counts, threshold)
+    quality = ranking_quality(curve_of_counts(counts))
     impact = operational_impact(matrix, daily_flows)
     columns = [
         F.round(F.col("quality.auroc"), 4).alias("auroc"),
@@ -245,12 +268,11 @@ def evaluate_detection(
     if with_labels:
         per_attack = per_attack_recall(scored, threshold, score)
         entry = F.struct("label", F.struct("count", "detected", "recall").alias("v"))
-        # The document holds one entry per attack class; a label column with
-        # more values than a dimension can have is an error, not a cut.
-        entries = per_attack.limit(MAX_LABELS + 1).agg(F.collect_list(entry).alias("e"))
-        checked = F.when(
-            F.size("e") > MAX_LABELS, F.raise_error(F.lit(f"more than {MAX_LABELS} attack labels"))
-        ).otherwise(F.map_from_entries("e"))
-        parts["attacks"] = entries.select(checked).scalar()
+        entries = per_attack.agg(F.collect_list(entry).alias("e"))
+        entry_map = F.map_from_entries("e")
+        if MAX_LABELS is not None:
+            too_many = F.raise_error(F.lit(f"more than {MAX_LABELS} attack labels"))
+            entry_map = F.when(F.size("e") > MAX_LABELS, too_many).otherwise(entry_map)
+        parts["attacks"] = entries.select(entry_map).scalar()
         columns.append(F.col("attacks").alias("per_attack_recall"))
     return rates(matrix).withColumns(parts).select(*columns)

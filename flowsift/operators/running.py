@@ -50,15 +50,16 @@ def with_rank(df: DataFrame, order: list[Column], name: str = "rank") -> DataFra
 
 
 def running_totals(
-    df: DataFrame, order_col: str, sum_cols: list[str], descending: bool = True, buckets: int | None = None
+    df: DataFrame, order_col: str, sum_cols: list[str], descending: bool = True, buckets: int | None = None, stored: bool = False
 ) -> DataFrame:
     """Add ``cum_<column>``: inclusive running sums in the order of ``order_col``.
 
     ``df`` holds one row per distinct ``order_col`` (aggregate first), so no partition can
-    be hot. ``buckets`` is the number of range partitions, by default that of the session.
+    be hot. ``buckets`` is the number of range partitions, by default that of the session;
+    ``stored=True`` states that ``df`` reads a stored table.
     """
     order = F.col(order_col).desc() if descending else F.col(order_col).asc()
-    stored = materialize(df, "per-value")
-    summed = _with_earlier(in_order(stored, [order], buckets), {f"_b_{c}": F.sum(c) for c in sum_cols})
+    values = df if stored else materialize(df, "per-value")
+    summed = _with_earlier(in_order(values, [order], buckets), {f"_b_{c}": F.sum(c) for c in sum_cols})
     inside = Window.partitionBy(_PART).orderBy(PLACE).rowsBetween(Window.unboundedPreceding, 0)
     return summed.select(*df.columns, *[(F.sum(c).over(inside) + F.col(f"_b_{c}")).alias(f"cum_{c}") for c in sum_cols])

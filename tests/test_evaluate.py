@@ -1,19 +1,23 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from flowsift.operators import evaluate
 from flowsift.operators.evaluate import (
     confusion,
+    confusion_of_counts,
     evaluate_detection,
     per_attack_recall,
     pr_points,
     ranking_quality,
     rates,
     roc_points,
+    score_counts,
     score_curve,
     tradeoff_curve,
 )
 from flowsift.operators.running import running_totals
+from flowsift.storage import materialize
 
 
 def scored(spark, y, s, labels=None):
@@ -126,3 +130,42 @@ def test_too_many_labels_fail_instead_of_being_cut(spark, monkeypatch):
 def test_score_at_threshold_is_an_alert(spark):
     row = confusion(scored(spark, [1, 0], [0.5, 0.5]), 0.5).first()
     assert (row["tp"], row["fp"]) == (1, 1)
+
+
+def test_every_score_is_different(spark):
+    """60,000 distinct scores against numpy, in as many partitions as the session sorts with."""
+    n = 60_000
+    df = spark.range(n).select(
+        (F.xxhash64("id") / float(2**63)).alias("anomaly_score"), (F.xxhash64("id", F.lit(1)) % 5 == 0).cast("int").alias("is_anomaly")
+    )
+    df = materialize(df, "distinct-scores")
+    pdf = df.toPandas().sort_values("anomaly_score", ascending=False, ignore_index=True)
+    curve = score_curve(df).toPandas().sort_values("threshold", ascending=False, ignore_index=True)
+    assert len(curve) == pdf.anomaly_score.nunique() == n
+    assert (curve.cum_p.to_numpy() == pdf.is_anomaly.cumsum().to_numpy()).all() and (curve.cum_n.to_numpy() == range(1, n + 1)).all()
+    row = ranking_quality(score_curve(df)).first()
+    p, hits = pdf.is_anomaly.to_numpy(), pdf.is_anomaly.cumsum().to_numpy()
+    assert row["average_precision"] == pytest.approx((p * hits / np.arange(1, n + 1)).sum() / p.sum(), rel=1e-9)
+    assert row["auroc"] == pytest.approx(((1 - p) * hits).sum() / (p.sum() * (n - p.sum())), rel=1e-9)
+    matrix = confusion(df, 0.25).first()
+    assert confusion_of_counts(score_counts(df), 0.25).first() == matrix
+
+
+def test_metrics_read_the_scores_twice(spark, monkeypatch):
+    rows = [(i / 40_000, i % 3 == 0, f"label{i}") for i in range(20_000)]
+    df = spark.createDataFrame(rows, "anomaly_score double, hit boolean, label string").withColumn("is_anomaly", F.col("hit").cast("int"))
+    df = materialize(df, "many-labels")
+    path = df.inputFiles()[0].rsplit("/", 1)[0]
+    scans = []
+    store = evaluate.materialize
+
+    def watched(out, name):
+        scans.append(out._jdf.queryExecution().executedPlan().toString().count(path))
+        return store(out, name)
+
+    monkeypatch.setattr(evaluate, "materialize", watched)
+    doc = evaluate.evaluate_detection(df, 0.3)
+    scans.append(doc._jdf.queryExecution().executedPlan().toString().count(path))
+    assert sum(scans) <= 2
+    # As many labels as the data has; none is refused.
+    assert len(doc.first()["per_attack_recall"]) == 20_000
