@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowsift.operators.rowkeys import with_occurrence
 from flowsift.schema import THREATS, UNKNOWN_THREAT, threat_dimension
 
 VENDOR_PRODUCT = "flowsift"
@@ -123,7 +124,17 @@ def generate_alerts_batch(
     key: str = "flow_id",
     **options,
 ) -> DataFrame:
-    """Alerts for flows and explanations held in two tables, paired by a unique ``key``."""
-    chosen = explanations.where(F.col("is_alert") == 1) if filter_anomalies_only else explanations
-    narrow = chosen.select(key, "anomaly_score", "top_drivers", "narrative")
-    return create_alerts(flows.join(narrow, key), key=key, **options)
+    """Alerts for flows and explanations held in two tables, paired by ``key``.
+
+    Where keys repeat, the first row of a key in ``flows`` meets the first one in
+    ``explanations`` and so on, so n equal keys give n alerts; null keys pair with null keys.
+    """
+    number = "__occurrence"
+    flag = ["is_alert"] if filter_anomalies_only else []
+    narrow = explanations.select(F.col(key).alias("__key"), *flag, "anomaly_score", "top_drivers", "narrative")
+    told = with_occurrence(narrow, "__key", "__told")
+    if filter_anomalies_only:
+        told = told.where(F.col("is_alert") == 1)
+    same = F.col(key).eqNullSafe(F.col("__key")) & (F.col(number) == F.col("__told"))
+    paired = with_occurrence(flows, key, number).join(told.drop(*flag), same)
+    return create_alerts(paired.drop(number, "__key", "__told"), key=key, **options)

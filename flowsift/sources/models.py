@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 from flowsift.operators.forest import IsolationForest, forest_table
 from flowsift.operators.scaling import FlowScaler
 from flowsift.schema import ForestConfig
+from flowsift.sources.publish import current, parquet, publish
 
 _META = (
     "n_trees int, sample_size int, seed bigint, contamination double, psi int, "
@@ -26,7 +26,7 @@ class FlowModel:
 
 
 def save_model(spark: SparkSession, model: FlowModel, path: str) -> str:
-    """Write ``forest_nodes``, ``scaler`` and ``model_meta`` below ``path``."""
+    """Publish ``forest_nodes``, ``scaler`` and ``model_meta`` below ``path``, all or nothing."""
     forest, config = model.forest, model.forest.config
     meta = (
         config.n_trees,
@@ -40,22 +40,21 @@ def save_model(spark: SparkSession, model: FlowModel, path: str) -> str:
         model.scaler.scaler_type,
     )
     # Small bounded tables: one file each.
-    forest_table(spark, forest).coalesce(1).write.mode("overwrite").parquet(f"{path}/forest_nodes")
-    model.scaler.table(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/scaler")
-    spark.createDataFrame([meta], _META).coalesce(1).write.mode("overwrite").parquet(f"{path}/model_meta")
+    tables = {
+        "forest_nodes": forest_table(spark, forest),
+        "scaler": model.scaler.table(spark),
+        "model_meta": spark.createDataFrame([meta], _META),
+    }
+    publish(spark, path, {name: parquet(table.coalesce(1)) for name, table in tables.items()})
     return path
 
 
 def load_model(spark: SparkSession, path: str) -> FlowModel:
     """Read a stored model; a missing one raises ``FileNotFoundError``."""
-    try:
-        meta = spark.read.parquet(f"{path}/model_meta").first()
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            raise FileNotFoundError(f"no stored model at {path}") from e
-        raise
+    paths = current(spark, path)
+    meta = spark.read.parquet(paths["model_meta"]).first()
     # Bounded: at most n_trees * (2 * sample_size - 1) nodes.
-    nodes = spark.read.parquet(f"{path}/forest_nodes").toPandas()
+    nodes = spark.read.parquet(paths["forest_nodes"]).toPandas()
     config = ForestConfig(meta["n_trees"], meta["sample_size"], meta["seed"], meta["contamination"])
     forest = IsolationForest.from_nodes(
         nodes.sort_values(["tree_id", "node_id"], ignore_index=True),
@@ -65,5 +64,5 @@ def load_model(spark: SparkSession, path: str) -> FlowModel:
         meta["threshold"],
         config,
     )
-    scaler = FlowScaler.from_table(spark.read.parquet(f"{path}/scaler"), meta["scaler_type"])
+    scaler = FlowScaler.from_table(spark.read.parquet(paths["scaler"]), meta["scaler_type"])
     return FlowModel(scaler, forest)

@@ -1,3 +1,5 @@
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,8 +7,10 @@ from flowsift.functions.parsing import parse_byte_size, parse_letter_flags, to_n
 from flowsift.operators.convert import LayoutError, cic_label, cidds_label, convert_cic, convert_cidds, match_headers
 from flowsift.operators.features import extract_features
 from flowsift.operators.rowkeys import has_repeated_key, number_copies, with_flow_id, with_row_key
+from flowsift.operators.triage import alert_id
 from flowsift.operators.validate import validate_and_clean
 from flowsift.schema import FLOW_COLUMNS
+from flowsift.storage import materialize
 
 CIDDS = {
     "Date first seen": "2026-09-20 08:12:30.000",
@@ -167,3 +171,40 @@ def test_row_key_only_changes_repeated_ids(make_flows):
     assert has_repeated_key(repeated, "flow_id")
     keys = [r["row_key"] for r in with_row_key(repeated).collect()]
     assert len(set(keys)) == 4
+
+
+def test_one_repeated_flow_changes_no_other_key(spark, make_flows):
+    flows = materialize(make_flows(*[{"tos": i} for i in range(200)]), "flows")
+    before = {r["tos"]: r["row_key"] for r in with_row_key(flows).collect()}
+    third = make_flows({"flow_id": "F-7", "tos": 7}, {"flow_id": None, "tos": 900}, *[{"flow_id": "HOT", "tos": 1000}] * 100)
+    mixed = materialize(flows.unionByName(third), "mixed")
+    for table_ in (mixed, mixed.where("tos >= 0"), mixed.unionByName(flows.limit(0))):
+        rows = with_row_key(table_).collect()
+        after = {r["tos"]: r["row_key"] for r in rows}
+        assert len({r["row_key"] for r in rows}) == len(rows) == 302
+        assert all(after[k] == v for k, v in before.items() if k != 7)
+    ids = [sorted(r["row_key"] for r in with_row_key(t).collect()) for t in (mixed, materialize(mixed.repartition(3), "again"))]
+    assert ids[0] == ids[1]
+
+
+def test_alert_ids_of_other_flows_stay(spark, make_flows):
+    flows = materialize(make_flows(*[{"tos": i} for i in range(30)]), "flows")
+    more = materialize(flows.unionByName(make_flows({"flow_id": "F-3", "tos": 3})), "more")
+    ids = []
+    for table_ in (flows, more):
+        keyed = with_row_key(table_)
+        ids.append({r["tos"]: r["a"] for r in keyed.select("tos", alert_id(F.col("row_key"), dt.date(2026, 9, 20)).alias("a")).collect()})
+    assert all(ids[0][k] == ids[1][k] for k in range(30) if k != 3)
+
+
+def test_flow_ids_move_no_rows(spark):
+    raw = materialize(table(spark, *[CIDDS | {"Src Pt": str(i)} for i in range(500)]), "raw")
+    plain = convert_cidds(raw)
+    assert "Exchange" not in plain._jdf.queryExecution().executedPlan().toString()
+    copies = materialize(raw.unionByName(raw.where("`Src Pt` < 5")), "copies")
+    converted = convert_cidds(copies)
+    plan = converted._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+    ids = [r["flow_id"] for r in converted.collect()]
+    assert len(set(ids)) == 505 and sum(i.endswith("-1") for i in ids) == 5
+    assert {i for i in ids if i.endswith("-0")} == {r["flow_id"] for r in plain.collect()}

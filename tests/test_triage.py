@@ -9,7 +9,7 @@ from flowsift.operators.validate import validate_and_clean
 from flowsift.functions.narrative import short_number
 from flowsift.schema import FEATURES
 from flowsift.sources.tables import export_alert, read_alerts, write_json
-from flowsift.storage import new_path
+from flowsift.storage import materialize, new_path
 
 DRIVER = "array<struct<feature: string, shap_contribution: double, scaled_value: double, raw_value: double>>"
 
@@ -103,6 +103,17 @@ def test_batch_pairs_by_key(spark, make_flows):
     assert generate_alerts_batch(clean, explanations, filter_anomalies_only=False).count() == 3
 
 
+def test_a_thousand_equal_ids_give_a_thousand_alerts(spark, make_flows):
+    flows = validate_and_clean(make_flows(*[{"flow_id": "SAME"}] * 1000, {"flow_id": "F-1"}, {"flow_id": None}))
+    full = explained(spark, flows).select("flow_id", "anomaly_score", "is_alert", "top_drivers", "narrative")
+    stored = materialize(flows, "same-flows"), materialize(full, "same-explanations")
+    for a, b in (stored, (flows, full)):
+        alerts = generate_alerts_batch(a, b)
+        assert alerts.count() == 1002 and alerts.where("flow_id = 'SAME'").count() == 1000
+    half = materialize(full.withColumn("is_alert", (F.monotonically_increasing_id() % 2).cast("int")), "half")
+    assert generate_alerts_batch(stored[0], half).count() == half.where("is_alert = 1").count()
+
+
 def attributed(spark, make_flows, phi, **scaled):
     values = {c: F.lit(float(scaled.get(c, 0.0))) for c in FEATURES}
     flows = validate_and_clean(make_flows(dict(packet_count=3.0, byte_count=2520.0)))
