@@ -36,6 +36,8 @@ SEED = "mix-1"
 # Fixed value: the golden ratio's fractional part in steps of 2 ** -64.
 GOLDEN = 11400714819323198485
 _CELLS = 4096
+# Values of the three hex digits that name a run.
+_BUCKETS = 4096
 _SLOTS_PER_RUN = 8192
 
 
@@ -132,15 +134,28 @@ def _running(df: DataFrame, keys: list[str], bucket: str, order: list[Column], a
     return df.drop("_inside", "_before", "_bucket", *[f"_{k}" for k in keys])
 
 
-def _piece() -> Column:
-    """Parts the rows of one key, which are all of them where ids are null: by size, then by place."""
-    return F.format_string("%016x%04x", F.col("size"), F.shiftright("row_no", 33).bitwiseAND(0xFFFF))
+def bucketed(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``bucket``: runs of the order by key, size and place.
+
+    The first digits of the shuffled keys make ``_BUCKETS`` even runs. Where ids repeat, or are
+    null, one of them can hold most rows; such runs are cut further, by size and by the part
+    of the table. There are fewer than ``_BUCKETS`` of them, so they are broadcast.
+    """
+    runs = rows.withColumn("bucket", F.substring("key", 1, 3))
+    counts = materialize(runs.groupBy("source", "bucket").agg(F.count("*").alias("c")), "mix_runs")
+    fair = (counts.agg(F.sum("c")).first()[0] or 0) / _BUCKETS
+    heavy = counts.where(F.col("c") > max(4 * fair, 64)).select(F.col("source").alias("s"), F.col("bucket").alias("b"))
+    met = _same(F.col("source"), F.col("s")) & (F.col("bucket") == F.col("b"))
+    part = F.shiftright("row_no", 33)
+    fine = F.format_string("%s%016x%016x", F.col("key"), F.col("size"), part)
+    cut = F.concat("bucket", F.when(F.col("b").isNotNull(), fine).otherwise(""))
+    return runs.join(F.broadcast(heavy), met, "left").withColumn("bucket", cut).drop("s", "b")
 
 
 def segments(rows: DataFrame, block_tokens: int) -> DataFrame:
     """Where each document lies on its source's line: one row per document and block it touches."""
     placed = _running(
-        rows.where("size > 0").withColumn("bucket", F.concat(F.substring("key", 1, 3), _piece())),
+        bucketed(rows.where("size > 0")),
         ["source"],
         "bucket",
         [F.col("key"), F.col("size"), F.col("row_no")],

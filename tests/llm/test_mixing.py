@@ -89,6 +89,6 @@ def test_every_stretch_of_the_mix_holds_the_shares(spark, stored):
 
 def test_null_ids_do_not_share_a_bucket(spark, stored):
     docs = stored([(None, "w " * (k % 30 + 1), "en", "one") for k in range(600)], parts=8)
-    rows = mixing.mix(docs, block_tokens=16)[0].where("size > 0").withColumn("bucket", mixing._piece())
+    rows = mixing.bucketed(mixing.mix(docs, block_tokens=16)[0].where("size > 0"))
     assert rows.groupBy("bucket").count().agg({"count": "max"}).first()[0] < 100
     assert sum(r.taken for r in mixing.taken_per_document(docs, block_tokens=16).collect()) > 0
