@@ -33,6 +33,8 @@ from flowsift.schema import FEATURES
 
 # Rows per step: the working arrays of one tree then stay in the processor cache.
 _CHUNK = 256
+# Tasks that may share the rows of one feature vector.
+SALTS = 4
 
 
 def _compile_tree(tree: pd.DataFrame) -> dict | None:
@@ -162,6 +164,13 @@ def _forest_phi(trees: list[dict], x: np.ndarray) -> np.ndarray:
     return phi
 
 
+def distinct_rows(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct rows of ``x``, and for each row the place of its like among them."""
+    as_bytes = np.ascontiguousarray(x).view(np.dtype((np.void, x.dtype.itemsize * x.shape[1]))).ravel()
+    _, first, which = np.unique(as_bytes, return_index=True, return_inverse=True)
+    return x[first], which
+
+
 def base_value(forest: IsolationForest) -> float:
     """Attribution of nothing: minus the expected path length."""
     nodes = forest._require_fitted()
@@ -197,13 +206,25 @@ class FlowExplainer:
             trees, n_trees = compiled.value
             for batch in batches:
                 x = np.column_stack([s.to_numpy(dtype=np.float64) for s in batch])
-                yield pd.Series(list((_forest_phi(trees, x) / -n_trees).T))
+                distinct, which = distinct_rows(x)
+                yield pd.Series(list((_forest_phi(trees, distinct) / -n_trees).T[which]))
 
         # A deterministic function would be pushed into filters and run twice.
         return attribute.asNondeterministic()(*feature_vector())
 
     def compute_anomaly_shap(self, features: DataFrame) -> DataFrame:
-        """``features`` with ``phi``; run it on alerted or sampled flows only."""
+        """``features`` with ``phi``; run it on alerted or sampled flows only.
+
+        A batch attributes each distinct vector once. Rows are first dealt out by their
+        vector, so equal ones meet in a batch and a task that holds most of the flagged
+        flows shares them with the others. A vector that most rows have goes to ``SALTS``
+        tasks. Streams keep the partitions of their source.
+        """
+        if not features.isStreaming:
+            tasks = int(features.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            others = [f"`{c}`" for c, kind in features.dtypes if c not in FEATURES and "map<" not in kind]
+            salt = F.pmod(F.xxhash64(*others), F.lit(SALTS)) if others else F.lit(0)
+            features = features.repartition(tasks, F.xxhash64(*FEATURES), salt)
         return features.withColumn("phi", self.phi())
 
 

@@ -32,6 +32,7 @@ from flowsift.sources.derived import stored_view
 from flowsift.sources.models import FlowModel, load_model, save_model
 from flowsift.storage import materialize, new_path
 from flowsift.streaming.scoring import alert_stream, read_flow_stream, write_alert_stream
+from flowsift.streaming.windows import read_window_counts, windowed_alerts, write_window_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -524,10 +525,7 @@ def _(spark, sf):
 
 @query("xai2_attributions")
 def _(spark, sf):
-    attributed = frozen_attributions(spark, sf)
-    long = long_attributions(attributed, ["flow_id"]).where(
-        F.col("feature").isin("bytes_per_packet", "log_pps", "is_syn_only")
-    )
+    long = long_attributions(frozen_attributions(spark, sf), ["flow_id"])
     return long.select("flow_id", "feature", F.round("phi", 6).alias("phi"))
 
 
@@ -937,4 +935,20 @@ def _(spark, sf):
     return _flat_alerts(tables.read_alerts(spark, out, alerts.schema))
 
 
+@query("ext2_windowed_alerts")
+def _(spark, sf):
+    """Alerts of the frozen model per source address and window, counted on a stream of flow files."""
+    incoming = new_path(spark, "stream-in")
+    unclean = {"src_port", "dst_port", "packet_count", "byte_count"}
+    flows = _flows(spark, sf).select(*[F.col(c).cast("double").alias(c) if c in unclean else c for c in FLOW_COLUMNS])
+    flows.write.parquet(incoming)
+    scored = pipeline.score_flows(frozen_model(), read_flow_stream(spark, incoming, files_per_batch=4))
+    counts = windowed_alerts(scored, size="1 hour", delay="3650 days")
+    out = new_path(spark, "window-counts")
+    write_window_counts(counts, out, new_path(spark, "window-state")).awaitTermination()
+    return _rounded(read_window_counts(spark, out)).select(
+        F.date_format("window_start", "yyyy-MM-dd HH:mm").alias("window_start"), "src_ip", "alerts", "targets", "top_score"
+    )
+
+
 __all__ = ["QUERIES", "IsolationForest", "frozen_attributions", "scored_evaluation", "trained_model"]

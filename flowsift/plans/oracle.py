@@ -298,7 +298,10 @@ SQL["src5_6_model_save_load"] = _frozen(
     f"SELECT flow_id, round(raw_score, 6) AS raw_score, (anomaly_score >= {_CUT_FROZEN})::INTEGER AS is_alert FROM frozen"
 )
 SQL["xai2_attributions"] = _frozen(
-    " UNION ALL ".join(f"SELECT flow_id, '{f}' AS feature, round(phi_{f}, 6) AS phi FROM frozen" for f in _DRIVERS)
+    " UNION ALL ".join(
+        f"SELECT flow_id, '{f}' AS feature, round({'phi_' + f if f in _DRIVERS else '0.0::DOUBLE'}, 6) AS phi FROM frozen"
+        for f in FEATURES
+    )
 )
 SQL["xai3_base_value"] = _frozen(
     f"SELECT flow_id, round(-({_num(_BASE)} + {' + '.join('phi_' + f for f in _DRIVERS)}), 6) AS path_length FROM frozen"
@@ -345,6 +348,12 @@ SQL["mdl2_tree_invariants"] = with_views(
 SQL["mdl_trained_scores"] = with_views(
     "SELECT count(*) AS n, count(*) AS in_range, 1::INTEGER AS auroc_ok FROM flows_all WHERE k % 2 = 1"
 )
+SQL["ext2_windowed_alerts"] = _frozen(
+    f"""
+SELECT strftime(time_bucket(INTERVAL '1 hour', CAST(timestamp AS TIMESTAMP)), '%Y-%m-%d %H:%M') AS window_start, src_ip,
+  count(*) AS alerts, count(DISTINCT dst_ip) AS targets, round(max(anomaly_score), 6) AS top_score
+FROM frozen WHERE anomaly_score >= {_CUT_FROZEN} GROUP BY 1, 2"""
+)
 SQL["xai2_local_accuracy"] = with_views("SELECT 0::BIGINT AS n_violations")
 
 # -- thresholds and evaluation on the surrogate score ----------------------

@@ -7,7 +7,7 @@ import pytest
 from conftest import SF
 from pyspark.sql import functions as F
 
-from flowsift.operators.attribution import FlowExplainer, _compile_tree, _forest_phi, feature_importance
+from flowsift.operators.attribution import FlowExplainer, _compile_tree, _forest_phi, distinct_rows, feature_importance
 from flowsift.operators.forest import (
     IsolationForest,
     _dense,
@@ -185,3 +185,21 @@ def test_calibration_on_other_flows(spark, trained):
     assert forest.calibrate_threshold_by_fpr(model.scaler.transform(base), 0.04) == pytest.approx(model.forest.threshold)
     with pytest.raises(RuntimeError):
         frozen_model().forest.calibrate_threshold_by_fpr()
+
+
+def test_equal_vectors_are_attributed_once():
+    x = np.repeat(np.random.default_rng(1).random((5, len(FEATURES))), [1, 400, 3, 1, 95], axis=0)
+    distinct, which = distinct_rows(x)
+    assert len(distinct) == 5 and (distinct[which] == x).all()
+
+
+def test_hot_vector_is_spread_and_keeps_its_attributions(spark):
+    model = frozen_model()
+    rows = [tuple(float(j == 0) * 50 + (i % 3 == 0) * i for j in range(len(FEATURES))) + (f"F-{i}",) for i in range(300)]
+    df = spark.createDataFrame(rows, ", ".join(f"{f} double" for f in FEATURES) + ", flow_id string")
+    explainer = FlowExplainer(model.forest)
+    spread = explainer.compute_anomaly_shap(df).withColumn("part", F.spark_partition_id())
+    hot = spread.where(F.col(FEATURES[1]) == 0).groupBy("part").count().collect()
+    assert len(hot) > 1
+    whole = {r["flow_id"]: r["phi"] for r in df.select("flow_id", explainer.phi().alias("phi")).collect()}
+    assert {r["flow_id"]: r["phi"] for r in spread.collect()} == whole
