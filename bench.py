@@ -20,7 +20,7 @@ from flowsift.operators.scaling import FlowScaler
 from flowsift.plans import catalog, pipeline
 from flowsift.schema import NUMERIC_FEATURES
 from flowsift.session import tune
-from flowsift.sources.derived import stored_view
+from flowsift.fixtures.views import stored_view
 from flowsift.storage import release
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")

@@ -28,7 +28,7 @@ from flowsift.plans.frozen import frozen_model
 from flowsift.session import tune
 from flowsift.schema import BENIGN, FEATURES, FLAG_FEATURES, FLOW_COLUMNS, NUMERIC_FEATURES, ForestConfig
 from flowsift.sources import tables
-from flowsift.sources.derived import stored_view
+from flowsift.fixtures.views import stored_view
 from flowsift.sources.models import FlowModel, load_model, save_model
 from flowsift.storage import materialize, new_path
 from flowsift.streaming.scoring import alert_stream, read_flow_stream, write_alert_stream
@@ -139,6 +139,7 @@ def _metrics_row(doc: DataFrame) -> DataFrame:
 def _flat_alerts(alerts: DataFrame) -> DataFrame:
     drivers = F.transform("anomaly_analysis.top_driving_features", lambda d: d["feature"])
     return alerts.select(
+        "alert_id",
         "flow_id",
         "timestamp",
         "severity",
@@ -897,6 +898,19 @@ def _(spark, sf):
     return _flat_alerts(result.alerts)
 
 
+@query("qry21_pipeline_frozen")
+def _(spark, sf):
+    """The whole pipeline with a ready model: alerts of all flagged flows of the evaluation split."""
+    base, evaluation = _split(spark, sf)
+    result = pipeline.run_pipeline(base, evaluation, run_date=RUN_DATE, max_alerts=None, model=frozen_model())
+    return _flat_alerts(result.alerts)
+
+
+@query("qry20_benchmark_cidds_frozen")
+def _(spark, sf):
+    return _metrics_row(benchmark.evaluate_benchmark(frozen_model(), stored_view(spark, sf, "raw_cidds"), "cidds-001"))
+
+
 @query("qry21_acceptance")
 def _(spark, sf):
     """Bounds that the trained pipeline must keep, at a false-positive budget of 8 %."""

@@ -513,7 +513,7 @@ SQL["tri4_severity"] = _scored(
     f"SELECT flow_id, {_SEVERITY} AS severity FROM (SELECT *, round(anomaly_score, 4) AS s FROM context)", _context("scored")
 )
 _ALERTS = f"""
-SELECT flow_id, timestamp, {_SEVERITY} AS severity, 'flagged_for_triage' AS action, src_ip AS src, src_ip, src_port, dst_ip AS dest,
+SELECT 'ALT-20260920-' || substr(sha256(flow_id), 1, 16) AS alert_id, flow_id, timestamp, {_SEVERITY} AS severity, 'flagged_for_triage' AS action, src_ip AS src, src_ip, src_port, dst_ip AS dest,
   dst_ip AS dest_ip, dst_port AS dest_port, lower(protocol) AS transport, flow_duration AS duration, packet_count AS packets,
   byte_count AS bytes, tcp_flags, s AS score, names AS drivers, narrative AS justification, technique_id AS mitre_technique_id,
   technique_name AS mitre_technique_name, tactic AS mitre_tactic, playbook AS recommended_playbook, {_CONTAIN} AS suggested_containment
@@ -522,6 +522,11 @@ _ALERT_PARTS = (_LONG, _DRIVERS_CTE, _EXPLAINED)
 _ALERT_SQL = _frozen(f"{_ALERTS} WHERE anomaly_score >= {_CUT_FROZEN}", *_ALERT_PARTS, _context("explained"))
 for _key in ("tri5_alerts", "tri7_alert_batch", "src8_alerts_json", "ext1_stream_alerts"):
     SQL[_key] = _ALERT_SQL
+SQL["qry21_pipeline_frozen"] = _frozen(
+    f"{_ALERTS} WHERE anomaly_score >= {_CUT_FROZEN} AND flow_id IN (SELECT flow_id FROM flows_all WHERE k % 2 = 1)",
+    *_ALERT_PARTS,
+    _context("explained"),
+)
 SQL["tri6_alert_ids"] = _frozen(
     f"SELECT count(*) AS n_alerts, count(*) AS n_ids, count(*) AS n_wellformed FROM frozen WHERE anomaly_score >= {_CUT_FROZEN}"
 )
@@ -627,6 +632,9 @@ SQL["qry20_benchmark_counts"] = with_views(_BOTH, need="both")
 
 # The frozen model on converted raw rows: same views, other source and score.
 _BENCH_SCORED = _FROZEN.replace("frozen AS (", "scored AS (").replace("FROM featured", "FROM bench_featured")
+SQL["qry20_benchmark_cidds_frozen"] = with_views(
+    _DOC, features_cte("bench_featured", "cidds"), _BENCH_SCORED, *_DOC_PARTS, need="cidds"
+)
 SQL["qry20_benchmark_frozen"] = with_views(
     _DOC, features_cte("bench_featured", "cic"), _BENCH_SCORED, *_DOC_PARTS, need="cic"
 )

@@ -207,3 +207,8 @@ def run_pipeline(
             },
         )
     return result
+
+
+def run_whole_pipeline(baseline: DataFrame, evaluation: DataFrame, **options) -> PipelineResult:
+    """:func:`run_pipeline` with an alert of every flagged flow, whatever their number."""
+    return run_pipeline(baseline, evaluation, **{"max_alerts": None, **options})
