@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flowsift.storage import materialize
@@ -56,17 +56,25 @@ def stored_rows(df: DataFrame, name: str) -> tuple[DataFrame, str]:
 
 
 def placed_rows(df: DataFrame, name: str, stored: bool = False) -> tuple[DataFrame, list[str]]:
-    """``df`` with columns that tell its rows apart in every scan, and their names.
+    """``df`` with a number that tells its rows apart in every scan, and the column's name in a list.
 
     ``stored=True`` states that ``df`` reads Parquet files, maybe through filters and
-    projections: rows are known by a hash of their file's path and their number in it,
-    which do not depend on file splits, and nothing is written. Otherwise rows are stored.
+    projections: a row's number is made of that of its file, in the order of their paths, and
+    its place in the file. That does not depend on file splits, and no row is written. The
+    numbers of files are one row per file, as many as the driver lists to plan the scan, so
+    they are broadcast. Otherwise rows are stored with a number.
     """
     if not stored:
         rows, column = stored_rows(df, name)
         return rows, [column]
-    taken, columns = {c.lower() for c in df.columns}, ["_file", "_row_in_file"]
-    while taken & set(columns):
-        columns = [f"_{c}" for c in columns]
-    place = df.metadataColumn("_metadata")
-    return df.select("*", F.xxhash64(place["file_path"]).alias(columns[0]), place["row_index"].alias(columns[1])), columns
+    taken, column = {c.lower() for c in df.columns}, "_row_no"
+    while column in taken:
+        column = f"_{column}"
+    path = df.metadataColumn("_metadata")["file_path"]
+    order = Window.partitionBy(F.lit(0)).orderBy(f"{column}_file")
+    files = df.select(path.alias(f"{column}_file")).distinct()
+    files = materialize(files.withColumn(f"{column}_of", F.row_number().over(order).cast("long")), "files")
+    rows = df.select("*", path.alias(f"{column}_file"), df.metadataColumn("_metadata")["row_index"].alias(f"{column}_at"))
+    rows = rows.join(F.broadcast(files), f"{column}_file", "left")
+    number = F.shiftleft(F.col(f"{column}_of"), 33) + F.col(f"{column}_at")
+    return rows.select(*[F.col(f"`{c}`") for c in df.columns], number.alias(column)), [column]

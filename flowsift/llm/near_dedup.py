@@ -139,13 +139,12 @@ def _similar(counted: DataFrame, percent: int) -> DataFrame:
 
 
 def _links(texts: DataFrame, reps: DataFrame, length: int, percent: int, sketch: int) -> DataFrame:
-    """Labels ``node, comp`` of all sets that have a link; ``texts`` holds ``row, text``, ``reps`` the ``row`` of a node."""
+    """Labels ``node, comp`` of all sets that have a link; ``texts`` holds ``node, text``."""
     lists = materialize(_lists(reps, sketch, percent), "lists")
     by_value = lists.select("node", F.explode("keys").alias("v"))
     crowd = by_value.groupBy("v").agg(F.count("*").alias("c")).where("c > 1").select("v")
     candidates = by_value.join(crowd, "v").select("node").distinct()
-    candidates = reps.select("node", "row").join(candidates, "node", "left_semi")
-    sets = texts.join(materialize(candidates, "candidates"), "row")
+    sets = texts.join(materialize(candidates, "candidates"), "node", "left_semi")
     sets = materialize(sets.select("node", shingles(F.col("text"), length).alias("items")), "sets")
 
     # Shingles of one candidate only cannot be shared.
@@ -193,27 +192,24 @@ def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def find_groups(docs: DataFrame, length: int = SHINGLE, percent: int = PERCENT, sketch: int = SKETCH,
-                id_col: str = "doc_id", text_col: str = "text", row_cols: list[str] | None = None,
+                id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None,
                 stored: bool = False) -> DataFrame:
-    """One row per document: ``row, doc_id, n_shingles, component_id, kept``.
+    """One row per document: ``row_no, doc_id, n_shingles, component_id, kept``.
 
     ``component_id`` is the smallest id that links reach; ``kept`` is true for the row that
-    stays of the group. Texts are read twice, so rows are told apart by ``row_cols``, or by
-    columns that ``placed_rows`` finds.
+    stays of the group. Texts are read twice, so rows are told apart by ``row_col``, or by
+    the number that ``placed_rows`` gives them.
     """
-    if row_cols is None:
-        docs, row_cols = placed_rows(docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")), "near_rows", stored)
-    place = F.struct(*row_cols).alias("row")
+    if row_col is None:
+        docs, (row_col,) = placed_rows(docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")), "near_rows", stored)
     rows = docs.select(
-        F.monotonically_increasing_id().alias("row_no"),
-        place,
+        F.col(row_col).alias("row_no"),
         F.col(f"`{id_col}`").alias("doc_id"),
         shingles(text_of(f"`{text_col}`"), length).alias("items"),
     )
     key = F.concat(F.hex(F.xxhash64("items")), F.lit("-"), F.hex(F.xxhash64(F.lit(1), F.col("items"))))
     rows = rows.select(
         "row_no",
-        "row",
         "doc_id",
         F.size("items").cast("long").alias("n"),
         F.when(F.size("items") > 0, key).alias("key"),
@@ -221,12 +217,11 @@ def find_groups(docs: DataFrame, length: int = SHINGLE, percent: int = PERCENT,
     )
     rows = materialize(rows, "sketches")
     best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("row_no"))).alias("best")
-    # The numbers hold from here on, as the table is stored.
     classes = rows.where("n > 0").groupBy("key").agg(F.min("row_no").alias("node"), best)
     classes = materialize(classes, "classes")
     reps = rows.join(classes.select("node"), F.col("row_no") == F.col("node"), "left_semi")
-    reps = materialize(reps.select(F.col("row_no").alias("node"), "row", "n", "sketch"), "class_sketches")
-    texts = docs.select(place, text_of(f"`{text_col}`").alias("text"))
+    reps = materialize(reps.select(F.col("row_no").alias("node"), "n", "sketch"), "class_sketches")
+    texts = docs.select(F.col(row_col).alias("node"), text_of(f"`{text_col}`").alias("text"))
     labels = _links(texts, reps, length, percent, sketch)
 
     # A component's smallest id, found per class first, goes back to classes and then to rows.
@@ -238,7 +233,7 @@ def find_groups(docs: DataFrame, length: int = SHINGLE, percent: int = PERCENT,
     out = rows.drop("sketch").join(materialize(moved, "class_groups"), "key", "left")
     alone = F.col("key").isNull()
     return out.select(
-        "row",
+        "row_no",
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(alone, F.col("doc_id")).otherwise(F.col("best.doc_id")).alias("component_id"),
@@ -248,7 +243,7 @@ def find_groups(docs: DataFrame, length: int = SHINGLE, percent: int = PERCENT,
 
 def drop_near_duplicates(docs: DataFrame, stored: bool = False, **options) -> DataFrame:
     """One document of every group, with all its columns. ``stored``: see ``placed_rows``."""
-    rows, place = placed_rows(docs, "near_rows", stored)
-    found = find_groups(rows, row_cols=place, **options)
-    dropped = materialize(found.where(~F.col("kept")).select("row.*"), "dropped_rows")
-    return rows.join(dropped, place, "left_anti").drop(*place)
+    rows, (row_no,) = placed_rows(docs, "near_rows", stored)
+    found = find_groups(rows, row_col=row_no, **options)
+    dropped = materialize(found.where(~F.col("kept")).select(F.col("row_no").alias(row_no)), "dropped_rows")
+    return rows.join(dropped, row_no, "left_anti").drop(row_no)
