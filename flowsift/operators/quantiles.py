@@ -25,17 +25,17 @@ _KEY = ["g", "c"]
 def _values(df: DataFrame, names: list[str], group: str | None) -> DataFrame:
     """``g, c, v``: group as text that tells null apart, number of the column, image of the value."""
     key = F.lit("") if group is None else F.coalesce(F.concat(F.lit("="), F.col(group).cast("string")), F.lit(""))
-    images = [order_image(F.col(f"`{c}`").cast("double")).alias(f"v{i}") for i, c in enumerate(names)]
-    wide = df.select(key.alias("g"), *images)
+    doubles = [F.col(f"`{c}`").cast("double").alias(f"v{i}") for i, c in enumerate(names)]
     cells = F.array(*[F.struct(F.lit(i).alias("c"), F.col(f"v{i}").alias("v")) for i in range(len(names))])
-    return wide.select("g", F.inline(cells).alias("c", "v"))
+    # The image is made behind the cells, so its expression is compiled once and not per column.
+    long = df.select(key.alias("g"), *doubles).select("g", F.inline(cells).alias("c", "v"))
+    return long.select("g", "c", order_image(F.col("v")).alias("v"))
 
 
 def _histogram(values: DataFrame, keys: list[str], level: int) -> DataFrame:
     """Rows per digit of the given level, and whether they are all equal."""
     digit = F.shiftright("v", 64 - DIGIT_BITS * (level + 1))
-    counted = values.groupBy(*keys, digit.alias("next")).agg(F.count("v").alias("n"), F.min("v").alias("least"), F.max("v").alias("most"))
-    return materialize(counted, "digits")
+    return values.groupBy(*keys, digit.alias("next")).agg(F.count("v").alias("n"), F.min("v").alias("least"), F.max("v").alias("most"))
 
 
 def _select(wanted: DataFrame, digits: DataFrame, keys: list[str]) -> DataFrame:
@@ -56,7 +56,7 @@ def quantile_table(df: DataFrame, columns: dict[str, list[float]], group: str |
     """
     names = list(columns)
     values = _values(df, names, group)
-    digits = _histogram(values, _KEY, 0)
+    digits = materialize(_histogram(values, _KEY, 0), "digits")
     sizes = materialize(digits.groupBy(*_KEY).agg(F.sum("n").alias("n")), "quantile-sizes")
     ps = [F.struct(F.lit(i).alias("c"), F.array(*map(F.lit, map(float, columns[c]))).alias("ps")) for i, c in enumerate(names)]
     of_column = F.element_at(F.transform(F.array(*ps), lambda x: x["ps"]), F.col("c") + 1)
@@ -83,7 +83,7 @@ def quantile_table(df: DataFrame, columns: dict[str, list[float]], group: str |
     found = done[0]
     for more in done[1:]:
         found = found.unionByName(more)
-    found = materialize(found.select(*_KEY, "place", from_image(F.col("least")).alias("value")), "found-ranks")
+    found = found.select(*_KEY, "place", from_image(F.col("least")).alias("value"))
     ends = [found.select(*_KEY, F.col("place").alias(end), F.col("value").alias(f"{end}_value")) for end in ("lower", "upper")]
     out = asked.join(ends[0], [*_KEY, "lower"], "left").join(ends[1], [*_KEY, "upper"], "left")
     low, high = F.col("lower_value"), F.col("upper_value")
