@@ -9,13 +9,16 @@
   these to those of all pages, each with the weight of ``PRIOR_PAGES`` pages.
 
 The counts behind the last three are grouped sums, over all pages, of what the text
-alone says. They are joined back on their keys; adaptive execution splits a host with
-a large share of all pages, and each page ships a few numbers, never its text.
+alone says, stored and joined back on their keys. A key with more pages than an even
+partition holds is heavy: heavy keys are fewer than the session's shuffle partitions, so
+their counts are broadcast, and their pages are dealt out by row number, not by key. Each
+page ships a few numbers, never its text.
 
 Edge cases: null or empty html has no text and no declaration, a null url no host and
 no suffix; missing evidence is left out, and without any the shares of all pages
 decide. Documents without language are not learnt from. Without any labelled document
-there is no language to choose and the result is null. Ties go to the first language
+there is no language to choose and the result is null. Labels are language codes, of which
+there may be ``max_langs``; more are refused, as the model holds a row per label. Ties go to the first language
 in code-point order. Repeated rows get equal results; an empty table gives none. Other
 columns are not looked at, whatever their names.
 """
@@ -30,7 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowsift.llm.common import text_of
+from flowsift.llm.common import stored_rows, text_of
 from flowsift.llm.html_text import page_lines
 from flowsift.storage import materialize
 
@@ -38,6 +41,7 @@ BUCKETS = 32_768
 TEXT_EVIDENCE = 100
 PRIOR_PAGES = 5.0
 SMOOTHING = 0.5
+MAX_LANGS = 200
 DECLARED = re.compile(r"<html\b[^>]*?\b(?:xml:)?lang\s*=\s*[\"']?\s*([A-Za-z]{2,8})", re.IGNORECASE)
 
 
@@ -60,11 +64,12 @@ def trigrams(text: str | None, letters: np.ndarray) -> np.ndarray:
     return (code * 0x9E3779B1 >> 12) % BUCKETS
 
 
-def fit_text(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray]:
+def fit_text(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
+             max_langs: int = MAX_LANGS) -> tuple[list[str], np.ndarray]:
     """Languages and the log shares of their trigrams.
 
-    Tasks send sums per language and bucket, of which the driver gets one table of
-    fixed width; languages are the few codes of the label column.
+    Tasks send sums per language and bucket; the driver gets one array of fixed width per
+    language, of which there are ``max_langs`` at most.
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -78,13 +83,14 @@ def fit_text(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
             yield pd.DataFrame({"lang": lang, "b": at, "n": sums[at]})
 
     known = docs.select(F.lower(F.col(f"`{lang_col}`").cast("string")).alias("lang"), text_of(f"`{text_col}`").alias("t"))
-    sums = known.where("lang IS NOT NULL").mapInPandas(count, "lang string, b long, n long")
-    rows = sums.groupBy("lang", "b").agg(F.sum("n").alias("n")).toPandas()
-    langs = sorted(rows["lang"].unique())
+    known = known.where("lang IS NOT NULL")
+    langs = sorted(r.lang for r in known.select("lang").distinct().limit(max_langs + 1).collect())
+    if len(langs) > max_langs:
+        raise ValueError(f"{lang_col} has more than max_langs = {max_langs} values; are they language codes?")
+    sums = known.mapInPandas(count, "lang string, b long, n long").groupBy("lang", "b").agg(F.sum("n").alias("n"))
     counts = np.full((len(langs), BUCKETS), SMOOTHING)
-    for k, lang in enumerate(langs):
-        own = rows[rows["lang"] == lang]
-        counts[k, own["b"].to_numpy()] += own["n"].to_numpy()
+    for row in sums.groupBy("lang").agg(F.collect_list("b").alias("b"), F.collect_list("n").alias("n")).toLocalIterator():
+        counts[langs.index(row.lang), row.b] += row.n
     return langs, np.log(counts / counts.sum(1, keepdims=True)).astype(np.float32)
 
 
@@ -117,15 +123,33 @@ def _normal(logs: Column) -> Column:
 
 
 def _summed(rows: DataFrame, key: str, n: int) -> DataFrame:
-    """Expected pages per language for every value of a key, one array each."""
+    """Pages, and expected pages per language as one array, for every value of a key."""
     sums = [F.sum(F.get("p", F.lit(k))).alias(f"s{k}") for k in range(n)]
-    found = rows.where(F.col(key).isNotNull()).groupBy(F.col(key).alias(f"k_{key}")).agg(*sums)
-    return found.select(f"k_{key}", F.array(*[f"s{k}" for k in range(n)]).alias(f"c_{key}"))
-
-
-def identify(pages: DataFrame, docs: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    found = rows.where(F.col(key).isNotNull()).groupBy(F.col(key).alias(f"k_{key}")).agg(F.count("*").alias("pages"), *sums)
+    return found.select(f"k_{key}", "pages", F.array(*[f"s{k}" for k in range(n)]).alias(f"c_{key}"))
+
+
+def _with_counts(rows: DataFrame, keyed: DataFrame, key: str, n: int, size: int, row_no: str) -> DataFrame:
+    """``rows`` with the counts of their key (from all of ``keyed``), null without a key."""
+    counts = materialize(_summed(keyed, key, n), f"counts_{key}")
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    is_heavy = F.col("pages") * parts > size
+    heavy = counts.where(is_heavy).select(F.col(f"k_{key}").alias("heavy_key"), F.col(f"c_{key}").alias("heavy_c"))
+    light = counts.where(~is_heavy).select(F.col(f"k_{key}").alias("light_key"), F.lit(0).cast("long").alias("light_no"),
+                                           F.col(f"c_{key}").alias("light_c"))
+    out = rows.join(F.broadcast(heavy), F.col(key) == F.col("heavy_key"), "left")
+    # Pages of heavy keys and pages without a key meet nothing here; their number spreads them.
+    waits = F.col(key).isNotNull() & F.col("heavy_key").isNull()
+    out = out.withColumn("wait_key", F.when(waits, F.col(key)).otherwise(F.lit("")))
+    out = out.withColumn("wait_no", F.when(waits, F.lit(0).cast("long")).otherwise(F.col(row_no) + 1))
+    out = out.join(light, (F.col("wait_key") == F.col("light_key")) & (F.col("wait_no") == F.col("light_no")), "left")
+    return out.select(*rows.columns, F.coalesce("heavy_c", "light_c").alias(f"c_{key}"))
+
+
+def identify(pages: DataFrame, docs: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
+             max_langs: int = MAX_LANGS) -> DataFrame:
     """``page_id, url, lang, probability, text_lang, declared`` of every page."""
-    langs, model = fit_text(docs)
+    langs, model = fit_text(docs, max_langs=max_langs)
     n = len(langs)
     url = F.col(f"`{url_col}`").cast("string")
     host = F.lower(F.regexp_extract(url, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
@@ -148,17 +172,17 @@ def identify(pages: DataFrame, docs: DataFrame, id_col: str = "page_id", url_col
         F.col("r.text").alias("text"),
         _normal(F.col("r.text")).alias("p"),
     )
-    rows = materialize(rows, "page_evidence")
+    rows, row_no = stored_rows(rows, "page_evidence")
 
     # Sums over everything: one row.
-    whole = rows.agg(*[F.sum(F.get("p", F.lit(k))).alias(f"s{k}") for k in range(n)]).first()
-    total = [float(whole[k] or 0.0) for k in range(n)]
+    whole = rows.agg(*[F.sum(F.get("p", F.lit(k))).alias(f"s{k}") for k in range(n)], F.count("*").alias("pages")).first()
+    total = [float(whole[f"s{k}"] or 0.0) for k in range(n)]
     size = sum(total)
     shares = [(t + 1 / n) / (size + 1) for t in total]
 
     out = rows
     for key in ("host", "domain", "suffix", "declared"):
-        out = out.join(_summed(rows, key, n), F.col(key) == F.col(f"k_{key}"), "left")
+        out = _with_counts(out, rows, key, n, whole["pages"], row_no)
 
     def pulled(counts: Column, prior: Column) -> Column:
         """Shares of counts with the prior as ``PRIOR_PAGES`` more pages."""
