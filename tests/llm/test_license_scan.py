@@ -51,3 +51,46 @@ def test_candidates_hold_every_template():
     for name, text in TEMPLATES.items():
         assert name in {m[0] for m in index.scan("x y z " + text + " x")}
         assert len(WORD.findall(text)) == len(index.templates[name])
+
+
+def full_alignment(t, d):
+    """Most matched words of any best local alignment, over the whole table."""
+    best, row = (0, 0), [(0, 0)] * (len(d) + 1)
+    for x in t:
+        new = [(0, 0)]
+        for j, y in enumerate(d):
+            step = (row[j][0] + 2, row[j][1] + 1) if x == y else (row[j][0] - 1, row[j][1])
+            gaps = [(row[j + 1][0] - 1, row[j + 1][1]), (new[j][0] - 1, new[j][1])]
+            new.append(max((0, 0), step, *gaps))
+        row = new
+        best = max(best, *row)
+    return best[1]
+
+
+def test_query_finds_what_the_whole_table_finds(spark, stored):
+    """Notices with a few changed words among other words, one per text, and texts without."""
+    rng = random.Random(5)
+    other = [f"w{k}" for k in range(300)]
+    texts = []
+    for name, text in TEMPLATES.items():
+        for changes in (0, 0.02, 0.08, 0.5):
+            words = [rng.choice(other) if rng.random() < changes else w for w in text.split()]
+            texts.append(" ".join(rng.choices(other, k=40) + words + rng.choices(other, k=40)))
+    texts += [" ".join(rng.choices(other, k=90)) for _ in range(5)]
+    texts.append(" ".join(rng.choices(other, k=200_000)) + " " + TEMPLATES["ISC"])
+    got = scan(stored([(k, t, "en", "s") for k, t in enumerate(texts)])).collect()
+    found = {r.doc_id for r in got}
+    words = {n: [w.lower() for w in WORD.findall(t)] for n, t in TEMPLATES.items()}
+    for k, text in enumerate(texts[:-1]):
+        d = [w.lower() for w in WORD.findall(text)]
+        similar = [t for t in words.values() if full_alignment(t, d) >= 0.8 * len(t)]
+        assert similar or k not in found, text
+        # Winnowing promises a hit only where five words in a row are shared.
+        runs = {tuple(d[i : i + 5]) for i in range(len(d))}
+        assert k in found or not any(tuple(t[i : i + 5]) in runs for t in similar for i in range(len(t) - 4)), text
+    assert len(texts) - 1 in found
+
+
+def test_one_pass_over_the_texts(spark, stored):
+    plan = scan(stored([(1, "x", "en", "s")]))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "ArrowEvalPython" not in plan
