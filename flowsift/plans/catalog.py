@@ -267,6 +267,16 @@ def _(spark, sf):
     return validate.rejection_counts(_dirty(spark, sf))
 
 
+@query("val6_rejected_lines")
+def _(spark, sf):
+    bad = F.when(F.col("dst_port") == 53, F.lit("abc")).otherwise(F.col("dst_port").cast("string"))
+    path = tables.write_flows_csv(_dirty(spark, sf).withColumn("dst_port", bad), new_path(spark, "odd-csv"))
+    _, rejected = tables.read_flows_csv_checked(spark, path)
+    out = tables.write_rejected(rejected, new_path(spark, "rejected"))
+    kept = F.count(F.when(F.col("line").contains("abc"), 1))
+    return spark.read.parquet(out).groupBy("reason").agg(F.count("*").alias("n_rows"), kept.alias("n_abc"))
+
+
 @query("val7_strict_ip")
 def _(spark, sf):
     return validate.validate_and_clean(_dirty(spark, sf), strict_ip=True)

@@ -38,6 +38,22 @@ SQL["val4_cast_types"] = with_views(
     "SELECT flow_id, src_port, dst_port, packet_count, byte_count, protocol, tcp_flags FROM clean", need="dirty"
 )
 SQL["val5_clean"] = with_views(_CLEAN, need="dirty")
+SQL["val6_rejected_lines"] = with_views(
+    """
+SELECT reason, count(*) AS n_rows, count(*) FILTER (reason = 'unreadable') AS n_abc FROM (
+  SELECT CASE WHEN dst_port = 53 THEN 'unreadable'
+              WHEN src_ip IS NULL OR dst_ip IS NULL THEN 'missing_ip'
+              WHEN src_port IS NULL OR dst_port IS NULL THEN 'missing_port'
+              WHEN byte_count IS NULL THEN 'missing_bytes'
+              WHEN NOT (src_port BETWEEN 0 AND 65535 AND dst_port BETWEEN 0 AND 65535) THEN 'port_out_of_range'
+              WHEN byte_count < 0 THEN 'negative_bytes'
+              WHEN packet_count IS NULL OR packet_count < 1 THEN 'no_packets'
+              WHEN flow_duration IS NULL OR isnan(flow_duration) OR flow_duration < 0 THEN 'bad_duration'
+              ELSE 'accepted' END AS reason FROM dirty)
+WHERE reason <> 'accepted' GROUP BY reason""",
+    need="dirty",
+)
+
 SQL["val6_rejections"] = with_views(
     """
 SELECT reason, count(*) AS n_rows FROM (

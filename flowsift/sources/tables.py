@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowsift.operators.validate import validate_and_clean
+from flowsift.operators.validate import rejection_reason, validate_and_clean, validate_schema
 from flowsift.schema import RAW_FLOW_SCHEMA
 
 METRICS_SCHEMA = (
@@ -39,12 +39,49 @@ def read_flows_csv(spark: SparkSession, path: str, strict_ip: bool = False) -> D
     their column order: a header that differs fails the read. Whole numbers may be
     written with a fraction (``1.0``), as tools do once a column has a gap.
     """
+    return validate_and_clean(_typed_csv(spark, path), strict_ip)
+
+
+def _typed_csv(spark: SparkSession, path: str, line: str | None = None) -> DataFrame:
+    """CSV rows with the types of raw flows; ``line`` names a column for lines that do not fit them."""
     text = _existing(lambda: spark.read.option("header", True).csv(path), path)
     known = {f.name: f.dataType for f in RAW_FLOW_SCHEMA.fields} | {c: T.DoubleType() for c in ("tos", "is_anomaly")}
-    by_header = T.StructType([T.StructField(c, known.get(c, T.StringType())) for c in text.columns])
-    typed = spark.read.schema(by_header).option("header", True).option("enforceSchema", False).csv(path)
-    whole = {c: F.col(c).cast("int") for c in ("tos", "is_anomaly") if c in typed.columns}
-    return validate_and_clean(typed.withColumns(whole), strict_ip)
+    fields = [T.StructField(c, known.get(c, T.StringType())) for c in text.columns]
+    reader = spark.read.option("header", True).option("enforceSchema", False)
+    if line:
+        fields.append(T.StructField(line, T.StringType()))
+        # Every column is parsed, wanted or not, so that the same lines are rejected in every query.
+        reader = reader.option("columnNameOfCorruptRecord", line).option("columnPruning", False)
+    typed = reader.schema(T.StructType(fields)).csv(path)
+    return typed.withColumns({c: F.col(c).cast("int") for c in ("tos", "is_anomaly") if c in typed.columns})
+
+
+def read_flows_csv_checked(spark: SparkSession, path: str, strict_ip: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Clean flows, and what was rejected as ``file, reason, line``.
+
+    A line with a text where a number belongs, in any typed column, or with more or fewer
+    cells than the header is ``unreadable`` and kept as it stands; the plain reader takes
+    such a cell as missing. Other reasons are those of ``rejection_reason``; their line is
+    made from the cells. Each of the two tables is a narrow pass over the files.
+    """
+    line = "_line"
+    rows = _typed_csv(spark, path, line)
+    validate_schema(rows)
+    cells = [c for c in rows.columns if c != line]
+    reason = F.when(F.col(line).isNotNull(), "unreadable").otherwise(rejection_reason(strict_ip))
+    rejected = rows.select(
+        F.col("_metadata.file_path").alias("file"),
+        reason.alias("reason"),
+        F.coalesce(line, F.to_csv(F.struct(*[F.col(f"`{c}`") for c in cells]))).alias("line"),
+    )
+    flows = validate_and_clean(rows.where(F.col(line).isNull()).drop(line), strict_ip)
+    return flows, rejected.where("reason <> 'accepted'")
+
+
+def write_rejected(rejected: DataFrame, path: str, mode: str = "overwrite") -> str:
+    """Rejected lines as Parquet, a folder per reason."""
+    rejected.write.mode(mode).partitionBy("reason").parquet(path)
+    return path
 
 
 def read_flows_parquet(spark: SparkSession, path: str, strict_ip: bool = False) -> DataFrame:
@@ -73,8 +110,12 @@ def write_flows_parquet(df: DataFrame, path: str, partition_by_date: bool = Fals
 
 
 def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Raw dataset CSV, every column as text (header matching and casts follow)."""
-    return _existing(lambda: spark.read.option("header", True).csv(path), path)
+    """Raw dataset CSV, every column as text (header matching and casts follow).
+
+    A file whose header differs from the first one's fails the read, as its columns would be mixed up.
+    """
+    found = _existing(lambda: spark.read.option("header", True).csv(path), path)
+    return spark.read.schema(found.schema).option("header", True).option("enforceSchema", False).csv(path)
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> str:

@@ -18,10 +18,10 @@ from flowsift.sources.models import FlowModel
 
 
 def read_flow_stream(spark: SparkSession, path: str, fmt: str = "parquet", files_per_batch: int = 1000) -> DataFrame:
-    """Cleaned flows from a folder that receives files."""
+    """Cleaned flows from a folder that receives files; a CSV file with another header fails the batch."""
     reader = spark.readStream.schema(RAW_FLOW_SCHEMA).option("maxFilesPerTrigger", files_per_batch)
     if fmt == "csv":
-        reader = reader.option("header", True)
+        reader = reader.option("header", True).option("enforceSchema", False)
     return validate_and_clean(reader.format(fmt).load(path))
 
 
