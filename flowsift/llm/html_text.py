@@ -1,21 +1,25 @@
-"""Main text of web pages: markup regions, and differencing of pages with near URLs.
-
-A page becomes lines, one per block. Where the markup names the main region
-(``article``, ``main`` or the usual attributes), the text is that region without the
-parts that markup names as menus, notices, adverts, forms, comments and the like. An
-article among comments or teasers is the main region only if the page has no other.
-Nothing in a named main region is up to comparison, because sites repeat passages and
-whole articles under near URLs, and those must stay.
-
-Where no main region is named, the page is compared with the page of the nearest URL
-path on its host: lines of both are aligned by a longest common subsequence, and
-shared lines are deleted as template. If all lines are shared, the two are copies of
-one article and all stay. A page that is alone on its host keeps its lines.
+"""Main text of web pages: differencing of pages with near URLs, checked against the markup.
+
+A page becomes lines, one per block. Its candidate lines are those of the main region
+where the markup names one (``article``, ``main`` or the usual attributes), without the
+parts that markup names as menus, notices, adverts, forms, comments and the like;
+otherwise all lines that markup does not name. An article among comments or teasers is
+the main region only if the page has no other.
+
+Every page is compared with the page of the nearest URL path on its host: its candidate
+lines and all lines of the other are aligned by a longest common subsequence, and shared
+lines are deleted as template. Two checks follow. Lines of a named main region come back,
+because sites repeat passages and whole articles under near URLs, and those must stay.
+If all lines of a page without a main region are shared, the two are copies of one
+article and all stay. ``n_shared`` tells how many candidate lines were found shared. A
+page that is alone on its host keeps its lines.
 
 Neighbours come from a range partitioning by host and path, so a host with a third of
-all pages spreads over many tasks; the first page of each range is handed to the range
-before it. Only line hashes of the neighbour are shuffled, and only for pages without
-a main region.
+all pages spreads over many tasks; the first path of each range is handed to the range
+before it. Of pages with equal paths the one with the least line hashes is compared. Of
+two neighbours that are as near, the one before is taken. Only its line hashes are
+shuffled; candidate lines move once, to the hashes of their neighbour, and html never.
+Pages are parsed twice, which takes less than storing what was parsed.
 
 Edge cases: null or empty html gives an empty text; a null url has no host and thus no
 neighbour. Tags that are never closed, cut pages and stray end tags are tolerated. If
@@ -253,23 +257,36 @@ def shared_lines(a: list[int], b: list[int]) -> list[bool]:
     return held
 
 
-def _parsed(html: Column) -> Column:
-    @F.pandas_udf("struct<main string, lines array<string>, everything array<string>>")
+def _candidates(html: Column) -> Column:
+    """Whether the markup names the main region, and the lines that may be the text."""
+
+    @F.pandas_udf("struct<named boolean, lines array<string>>")
     def parse(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for pages in batches:
             out = []
             for html in pages:
                 lines = page_lines(html)
-                main = " ".join(t for region, t in lines if region == "main")
-                free = [] if main else [t for region, t in lines if region == "open"]
-                if not main and not free:
-                    free = [t for region, t in lines if region != "unseen"]
-                out.append((main, free, [t for _, t in lines]))
-            yield pd.DataFrame(out, columns=["main", "lines", "everything"])
+                found = [t for region, t in lines if region == "main"]
+                named = bool(found)
+                found = found or [t for region, t in lines if region == "open"]
+                out.append((named, found or [t for region, t in lines if region != "unseen"]))
+            yield pd.DataFrame(out, columns=["named", "lines"])
+
+    return parse(html)
+
+
+def _all_lines(html: Column) -> Column:
+    @F.pandas_udf("array<string>")
+    def parse(pages: pd.Series) -> pd.Series:
+        return pd.Series([[t for _, t in page_lines(html)] for html in pages], dtype=object)
 
     return parse(html)
 
 
+def _hashes(lines: Column) -> Column:
+    return F.transform(lines, lambda t: F.xxhash64(t))
+
+
 def _aligned(mine: Column, other: Column) -> Column:
     @F.pandas_udf("array<boolean>")
     def align(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -279,12 +296,12 @@ def _aligned(mine: Column, other: Column) -> Column:
 
 
 def _neighbours(pages: DataFrame) -> DataFrame:
-    """``host, path, other_row``: for every path the page of the nearest other path on the host."""
-    paths = pages.where("host IS NOT NULL").groupBy("host", "path").agg(F.min("row_no").alias("r"))
+    """``host, path, other``: for every path the nearest other path on the host."""
+    paths = pages.where("host IS NOT NULL").select("host", "path").distinct()
     # Stored, because ranges come from a sample and must not change between uses.
     ranged = materialize(paths.repartitionByRange("host", "path").withColumn("part", F.spark_partition_id()), "paths")
     here = Window.partitionBy("part").orderBy("host", "path")
-    me = F.struct("host", "path", "r")
+    me = F.struct("host", "path")
     near = ranged.select("*", F.lag(me).over(here).alias("before"), F.lead(me).over(here).alias("next"))
     ends = ranged.groupBy("part").agg(F.min(me).alias("lo"), F.max(me).alias("hi"))
     order = Window.orderBy("part")
@@ -299,37 +316,39 @@ def _neighbours(pages: DataFrame) -> DataFrame:
 
     near = near.withColumn("b", common("before")).withColumn("n", common("next"))
     near = near.withColumn("other", F.when(F.col("b") >= F.col("n"), F.col("before")).otherwise(F.col("next")))
-    return near.where("b > 0 OR n > 0").select("host", "path", F.col("other.r").alias("other_row"))
+    return near.where("b > 0 OR n > 0").select("host", "path", F.col("other.path").alias("other"))
+
+
+def _neighbour_lines(pages: DataFrame) -> DataFrame:
+    """``h, q, theirs``: for every path the line hashes of the page of the nearest other path."""
+    seen = pages.where("host IS NOT NULL").select("host", "path", _hashes(_all_lines(F.col("html"))).alias("hashes"))
+    seen = seen.groupBy("host", "path").agg(F.min("hashes").alias("theirs"))
+    near = _neighbours(pages).toDF("h", "q", "other")
+    return seen.join(near, (F.col("host") == F.col("h")) & (F.col("path") == F.col("other"))).select("h", "q", "theirs")
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``page_id, url, text, n_chars`` of every page."""
+    """``page_id, url, text, n_chars, n_shared`` of every page."""
     url = F.col(f"`{url_col}`").cast("string")
     address = r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)[^/?#]*([^?#]*)"
     host, path = F.lower(F.regexp_extract(url, address, 1)), F.regexp_extract(url, address, 2)
-    # Numbered in this one scan and stored below.
     rows = pages.select(
-        F.monotonically_increasing_id().alias("row_no"),
         F.col(f"`{id_col}`").alias("page_id"),
         F.col(f"`{url_col}`").alias("url"),
         F.when(F.length(host) > 0, host).alias("host"),
         F.regexp_replace(path, r"(\.html?)?/*$", "").alias("path"),
-        _parsed(text_of(f"`{html_col}`")).alias("p"),
+        text_of(f"`{html_col}`").alias("html"),
     )
-    hashes = F.transform("p.everything", lambda t: F.xxhash64(t))
-    rows = rows.select("row_no", "page_id", "url", "host", "path", "p.main", "p.lines", hashes.alias("hashes"))
-    rows = materialize(rows, "pages")
-
-    bare = rows.where(F.size("lines") > 0).select("row_no", "page_id", "url", "host", "path", "lines")
-    bare = bare.withColumn("mine", F.transform("lines", lambda t: F.xxhash64(t)))
-    near = _neighbours(rows.select("row_no", "host", "path"))
-    bare = bare.join(near.toDF("h", "q", "other_row"), (F.col("host") == F.col("h")) & (F.col("path") == F.col("q")), "left")
-    other = rows.select(F.col("row_no").alias("o"), F.col("hashes").alias("theirs"))
-    bare = bare.join(other, F.col("other_row") == F.col("o"), "left")
-    bare = bare.withColumn("shared", _aligned(F.col("mine"), F.coalesce("theirs", F.expr("array()").cast("array<bigint>"))))
-    own = F.filter("lines", lambda _, i: ~F.get("shared", i))
+    # Pages without a host meet nothing; their hash spreads them over the tasks of the join.
+    at = F.when(F.col("host").isNull(), F.hex(F.xxhash64("html"))).otherwise(F.col("path"))
+    mine = rows.select("page_id", "url", F.coalesce("host", F.lit("")).alias("host"), at.alias("path"), _candidates(F.col("html")).alias("p"))
+    mine = mine.select("page_id", "url", "host", "path", "p.named", "p.lines")
+    both = mine.join(_neighbour_lines(rows), (F.col("host") == F.col("h")) & (F.col("path") == F.col("q")), "left")
+    none = F.expr("array()").cast("array<bigint>")
+    both = both.withColumn("shared", _aligned(_hashes(F.col("lines")), F.coalesce("theirs", none)))
+    # What the markup names as main comes back.
+    own = F.filter("lines", lambda _, i: ~F.get("shared", i) | F.col("named"))
     text = F.array_join(F.when(F.size(own) > 0, own).otherwise(F.col("lines")), " ")
-
-    done = rows.where(F.size("lines") == 0).select("page_id", "url", F.col("main").alias("text"))
-    out = done.unionByName(bare.select("page_id", "url", text.alias("text")))
-    return out.withColumn("n_chars", F.char_length("text").cast("long"))
+    n_shared = F.size(F.filter("shared", lambda s: s)).cast("long")
+    out = both.select("page_id", "url", text.alias("text"), n_shared.alias("n_shared"))
+    return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"), "n_shared")

@@ -114,3 +114,16 @@ def test_very_long_page_and_equal_neighbours(spark, stored):
     got = {r.page_id: r.text for r in extract(stored(rows, SCHEMA)).collect()}
     # Of two neighbours that are as near, the one before is taken.
     assert got[1] == "mine right" and got[4] == "one" and got[5] == "two"
+
+
+def test_pages_with_a_main_region_are_compared_too(spark, stored):
+    rows = [
+        (1, "http://h.org/a/1", "<article><p>Site<p>one</article><div class='ad'>x</div>"),
+        (2, "http://h.org/a/2", "<article><p>Site<p>two<p>both</article>"),
+        (3, "http://far.org/1", "<article><p>Site<p>both</article>"),
+        *[(k, None, "<main>Site</main>") for k in range(4, 8)],
+    ]
+    got = {r.page_id: (r.text, r.n_shared) for r in extract(stored(rows, SCHEMA)).collect()}
+    # Shared lines are found on every page; those that the markup names as main come back.
+    want = {1: ("Site one", 1), 2: ("Site two both", 1), 3: ("Site both", 0)}
+    assert got == want | {k: ("Site", 0) for k in range(4, 8)}
