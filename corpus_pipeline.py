@@ -82,8 +82,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @stage
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every document of the mix."""
-    encoded = sentence_pieces.encode(docs, public_tokenizers.path(MODEL))
+    """Ids of every document of the mix, in its order, from the piece lattices of its distinct words."""
+    encoded = sentence_pieces.encode_by_join(docs, public_tokenizers.path(MODEL), stored=True)
     return encoded.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids")
 
 

@@ -16,11 +16,14 @@ of later rank; words with such an edge take one pass per symbol.
 Words of more than ``FOLD_CHARS`` characters, of which a text can consist as a whole,
 are merged by heap and linked list in ``n log n`` instead.
 
-The relational form (``encode_by_join``) moves every occurrence of a word to the word's
-pieces and back, several times the size of the input. ``encode`` therefore looks words
-up and merges them inside the task that reads the document, with a bounded memory of
-words seen; it gives the same ids, shuffles nothing, and is what the query and the
-pipeline use. ``encode_words`` gives the pieces of a vocabulary.
+Ids come back to documents by blocks of neighbouring rows (``encode_by_join``, which the
+pipeline uses): distinct words with the blocks that hold them are joined with their pieces,
+sorted in front of each block's documents, and looked up while these stream by. A task holds
+the words of one block. Texts move once, and documents keep their order.
+
+``encode`` looks words up and merges them inside the task that reads the document, with a
+bounded memory of words seen; it gives the same ids, shuffles nothing, and is what the
+query uses. ``encode_words`` gives the pieces of a vocabulary.
 
 Edge cases: a null or empty text has no pieces. Characters without a piece become one
 piece per byte. The space mark itself decodes to a space, as in the library. Repeated
@@ -34,6 +37,7 @@ import heapq
 import re
 from collections.abc import Callable, Iterator
 from functools import cached_property, lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -42,7 +46,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2 as model_pb
 
-from flowsift.llm.common import let, stored_rows, text_of
+from flowsift.llm.common import let, placed_rows, text_of
 from flowsift.storage import materialize
 
 MARK = "▁"
@@ -51,6 +55,12 @@ SCAN_CHARS = 24
 MEMO = 200_000
 # Documents of a task that are held as ids at a time.
 ROWS = 500
+# Documents that share a list of words in the relational form, as a power of two.
+BLOCK_BITS = 11
+# Distinct words whose edges a task sorts.
+WORDS_TASK = 20_000
+# Distinct words of a block that a task holds before it hands them on.
+WORDS_HELD = 500_000
 # Piece types of the model format, and the id of byte 0.
 NORMAL, BYTE = 1, 6
 WORDS = rf"[\n\t\r]|{MARK}*[^{MARK}\n\t\r]+|{MARK}+"
@@ -172,8 +182,7 @@ class _Memo(dict):
         return ids
 
     def encode(self, text: str) -> bytes:
-        marked = MARK + text.replace(" ", MARK) if text else ""
-        return b"".join(map(self.__getitem__, self.words.findall(marked)))
+        return b"".join(map(self.__getitem__, self.words.findall(_marked(text))))
 
 
 @lru_cache(2)
@@ -181,14 +190,6 @@ def table(path: str) -> PieceTable:
     return PieceTable(path)
 
 
-def words_in(text: Column) -> Column:
-    """Words of a text in the model's notation, in order."""
-    marked = F.concat(F.lit(MARK), F.replace(text, F.lit(" "), F.lit(MARK)))
-    return F.when(F.length(text) > 0, F.regexp_extract_all(marked, F.lit(WORDS), F.lit(0))).otherwise(
-        F.expr("array()").cast("array<string>")
-    )
-
-
 def _lattice(words: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
     """``word, edges``: all pieces that lie in a word, by rank and place."""
     n = F.length("word")
@@ -196,9 +197,10 @@ def _lattice(words: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
     ends = F.sequence(F.col("s"), F.least(F.length("word"), F.col("s") + (longest - 1)))
     spans = start.select("word", "s", F.explode(ends).alias("t"))
     spans = spans.select("word", (F.col("s") - 1).alias("s"), F.col("t").alias("e"), F.expr("substring(word, s, t - s + 1)").alias("piece"))
-    # The piece table has the fixed size of the model.
-    found = spans.join(F.broadcast(pieces), "piece")
-    return found.groupBy("word").agg(F.array_sort(F.collect_list(F.struct("rank", "s", "e", "id", "late"))).alias("edges"))
+    # The piece table has the fixed size of the model. A word without any piece keeps its first span, which is no edge.
+    found = spans.join(F.broadcast(pieces), "piece", "left").where("id IS NOT NULL OR s = 0 AND e = 1")
+    edge = F.when(F.col("id").isNotNull(), F.struct("rank", "s", "e", "id", "late"))
+    return found.groupBy("word").agg(F.array_sort(F.collect_list(edge)).alias("edges"))
 
 
 def _bit(i: Column) -> Column:
@@ -272,12 +274,9 @@ def _ids(word: Column, edges: Column, mask: Column, first_byte: int) -> Column:
 def encode_words(words: DataFrame, path: str) -> DataFrame:
     """``word, ids`` of distinct words."""
     spark, t = words.sparkSession, table(path)
-    short = words.where(F.length("word") <= FOLD_CHARS)
+    # Dealt out by word before the spans are made, so that spans and edges are not shuffled, in parts that fit into memory.
+    short = words.where(F.length("word") <= FOLD_CHARS).repartition(words.count() // WORDS_TASK + 1, "word")
     lattice = _lattice(short, t.frame(spark), t.longest)
-    # Words without any piece have no edge.
-    bare = F.expr("array()").cast("array<struct<rank:double,s:int,e:int,id:int,late:boolean>>")
-    lattice = short.join(lattice.withColumnRenamed("word", "w"), F.col("word") == F.col("w"), "left")
-    lattice = lattice.select("word", F.coalesce("edges", bare).alias("edges"))
     fold = _merged if t.is_bpe else _best_sum
     mask = fold(F.col("word"), F.col("edges"))
     ids = let(mask, lambda m: _ids(F.col("word"), F.col("edges"), m, t.bytes[0]))
@@ -295,21 +294,87 @@ def _merge_udf(path: str):
     return merge
 
 
-def encode_by_join(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``row_no, doc_id, ids`` of every document, relationally.
+def encode_by_join(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", stored: bool = False) -> DataFrame:
+    """``doc_id, ids`` of every document, relationally, in the order of ``docs``.
 
-    Every occurrence of a word is shuffled twice: to the word's pieces and back.
+    ``stored=True`` states that ``docs`` reads Parquet files, as for ``placed_rows``.
     """
-    docs, row_no = stored_rows(docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")), "piece_rows")
+    docs, [row_no] = placed_rows(docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")), "piece_rows", stored)
     rows = docs.select(
-        F.col(row_no).alias("row_no"), F.col(f"`{id_col}`").alias("doc_id"), words_in(text_of(f"`{text_col}`")).alias("words")
+        F.shiftright(F.col(row_no), BLOCK_BITS).alias("block"),
+        F.col(row_no).alias("row_no"),
+        F.col(f"`{id_col}`").alias("doc_id"),
+        text_of(f"`{text_col}`").alias("text"),
+    )
+    used = rows.select("block", "text").mapInArrow(_block_words, "block long, words array<string>")
+    used = used.select("block", F.explode("words").alias("word"))
+    words = materialize(used.groupBy("word").agg(F.collect_list("block").alias("blocks")), "words")
+    known = materialize(encode_words(words.select("word"), path), "word_pieces")
+    doc_id = rows.schema["doc_id"].dataType
+    # Words come before the documents of their block: they have no row number.
+    entries = words.join(known, "word").select(
+        F.explode("blocks").alias("block"),
+        F.lit(None).cast("long").alias("row_no"),
+        F.lit(None).cast(doc_id).alias("doc_id"),
+        F.col("word").alias("text"),
+        "ids",
     )
-    used = rows.select("row_no", F.posexplode("words").alias("pos", "word"))
-    known = materialize(encode_words(used.select("word").distinct(), path), "word_pieces")
-    parts = used.join(known, "word").groupBy("row_no").agg(F.array_sort(F.collect_list(F.struct("pos", "ids"))).alias("parts"))
-    whole = rows.select("row_no", "doc_id").join(parts, "row_no", "left")
-    none = F.expr("array()").cast("array<int>")
-    return whole.select("row_no", "doc_id", F.coalesce(F.flatten(F.transform("parts", lambda p: p["ids"])), none).alias("ids"))
+    both = entries.unionByName(rows.withColumn("ids", F.lit(None).cast("array<int>")))
+    both = both.repartitionByRange("block").sortWithinPartitions("block", F.asc_nulls_first("row_no"))
+    return both.mapInArrow(_look_up, f"doc_id {doc_id.simpleString()}, ids array<int>")
+
+
+def _block_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``block, words`` of neighbouring documents; a block in several tasks, or of very many words, has several rows."""
+    cut = re.compile(WORDS)
+    block, seen = None, set()
+
+    def row() -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int64()), "words": pa.array([list(seen)], pa.list_(pa.string()))})
+
+    for batch in batches:
+        for b, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            if seen and (b != block or len(seen) > WORDS_HELD):
+                yield row()
+                seen = set()
+            block = b
+            seen.update(cut.findall(_marked(text)))
+    if seen:
+        yield row()
+
+
+def _look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``doc_id, ids`` of documents from the words of their block, which come first."""
+    cut = re.compile(WORDS)
+    block, known = None, {}
+    for batch in batches:
+        blocks, is_doc = batch.column(0).to_numpy(), batch.column(1).is_valid().to_numpy(zero_copy_only=False)
+        borders = np.flatnonzero((np.diff(blocks) != 0) | (is_doc[1:] != is_doc[:-1])) + 1
+        for start, end in pairwise([0, *borders.tolist(), batch.num_rows]):
+            if start == end:
+                continue
+            if blocks[start] != block:
+                block, known = blocks[start], {}
+            if not is_doc[start]:
+                ids = batch.column(4).slice(start, end - start)
+                ends = np.cumsum([0, *ids.value_lengths().to_pylist()]) * 4
+                flat = ids.flatten().to_numpy().astype(np.int32).tobytes()
+                known.update((w, flat[i:j]) for w, (i, j) in zip(batch.column(3).slice(start, end - start).to_pylist(), pairwise(ends.tolist()), strict=True))
+                continue
+            for k in range(start, end, ROWS):
+                part = batch.slice(k, min(ROWS, end - k))
+                found = [b"".join(map(known.__getitem__, cut.findall(_marked(t)))) for t in part.column(3).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(2), _id_lists(found)], ["doc_id", "ids"])
+
+
+def _marked(text: str) -> str:
+    """The text in the model's notation."""
+    return MARK + text.replace(" ", MARK) if text else ""
+
+
+def _id_lists(found: list[bytes]) -> pa.Array:
+    ends = np.cumsum([0, *(len(x) // 4 for x in found)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(found), np.int32)))
 
 
 def _in_task(docs: DataFrame, path: str, fields: str, columns: Callable, id_col: str, text_col: str) -> DataFrame:
@@ -331,9 +396,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     """``doc_id, ids`` of every document, without a shuffle."""
 
     def columns(memo: _Memo, texts: list[str]) -> dict[str, pa.Array]:
-        found = [memo.encode(t) for t in texts]
-        ends = np.cumsum([0, *(len(x) // 4 for x in found)], dtype=np.int32)
-        return {"ids": pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(found), np.int32)))}
+        return {"ids": _id_lists([memo.encode(t) for t in texts])}
 
     return _in_task(docs, path, "ids array<int>", columns, id_col, text_col)
 

@@ -91,3 +91,25 @@ def test_entry_registers_every_operator(spark):
     entry.loader.exec_module(module)
     names = module.queries()
     assert all(any(q.startswith(f"op{k}_") for q in names) for k in range(1, 14)) and "pipeline" in names
+
+
+def test_pieces_come_from_the_lattice_in_the_order_of_the_mix(spark, stored, monkeypatch):
+    rows = [(k, f"w{k % 7} w{k} both\n{'' if k % 5 else 'x' * 70}", "en", "s") for k in range(700)]
+    rows += [(1000, "", "en", "s"), (1001, None, "en", "s"), (1, "w1 w1 both\n", "en", "s")]
+    docs = stored(rows, parts=1).select("doc_id", "text", "lang", "source")
+    folded = []
+    of_words = c.sentence_pieces.encode_words
+
+    def encode_words(words, path):
+        folded.append(sorted(r.word for r in words.collect()))
+        return of_words(words, path)
+
+    monkeypatch.setattr(c.sentence_pieces, "encode_words", encode_words)
+    got = c.to_pieces(spark, docs, SF).collect()
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(c.MODEL))
+    read = docs.collect()
+    assert [(r.doc_id, list(r.ids)) for r in got] == [(r.doc_id, library.encode(r.text or "")) for r in read]
+    assert all(r.n_pieces == len(r.ids) for r in got)
+    # Every distinct word once.
+    marked = {w for r in read if r.text for w in ("\u2581" + r.text.replace(" ", "\u2581")).replace("\n", "\u2581").split("\u2581")}
+    assert len(folded) == 1 and {w.strip("\u2581\n") for w in folded[0]} == marked and len(folded[0]) == len(set(folded[0]))
