@@ -47,7 +47,7 @@ from flowsift.llm.common import text_of
 
 MEMO = 300_000
 MEMO_CHARS = 40
-START_BYTES = 8
+START_BYTES = 12
 _NEVER = sys.maxsize
 
 
@@ -69,6 +69,15 @@ class Vocabulary:
         # The value is the token of just these bytes, -1 if merges give none.
         self.endings = {token[i:]: -1 for token in ranks for i in range(len(token))}
         self.endings.update({token: rank for token, rank in ranks.items() if self.growth(rank)})
+        # The same endings from their last byte backwards: byte -> [token or -1, bytes before].
+        self.backwards: dict[int, list] = {}
+        for token in ranks:
+            node = self.backwards
+            for byte in reversed(token):
+                hit = node.setdefault(byte, [-1, {}])
+                node = hit[1]
+            if token:
+                hit[0] = self.endings[token]
         self.pairs: dict[int, bool] = {}
         # Last tokens of short prefixes, which many pieces share.
         self.starts: dict[bytes, int] = {}
@@ -159,8 +168,29 @@ class PrefixTable:
                 break
             last.append(known)
             end += 1
+        # ``Vocabulary.step`` for every place, written out because most of the time is spent here.
+        backwards, pairs = v.backwards, v.pairs.get
         for end in range(end + 1, len(piece) + 1):
-            token = v.step(piece, last, end)
+            at, node, found, places = end, backwards, [], []
+            while at:
+                hit = node.get(piece[at - 1])
+                if hit is None:
+                    break
+                at -= 1
+                token, node = hit
+                if token >= 0:
+                    found.append(token)
+                    places.append(at)
+            while found:
+                token, at = found.pop(), places.pop()
+                if not at:
+                    break
+                left = last[at]
+                fits = pairs(left << 32 | token)
+                if fits or (fits is None and v.fits(left, token)):
+                    break
+            else:
+                raise ValueError(f"no token for byte {piece[end - 1]}")
             last.append(token)
             if end <= START_BYTES:
                 if len(v.starts) >= MEMO:
@@ -193,17 +223,21 @@ class PrefixTable:
 
 
 class _Pieces(dict):
-    """Tokens of pieces, remembered."""
+    """Tokens of pieces, remembered; when full, pieces used since the last time stay for one more."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        data = piece.encode("utf-8", "replace")
-        whole = self.vocabulary.ranks.get(data)
-        found = (whole,) if whole is not None else tuple(PrefixTable(self.vocabulary, data).tokens())
+        found = self.older.get(piece)
+        if found is None:
+            data = piece.encode("utf-8", "replace")
+            whole = self.vocabulary.ranks.get(data)
+            found = (whole,) if whole is not None else tuple(PrefixTable(self.vocabulary, data).tokens())
         if len(piece) <= MEMO_CHARS:
             if len(self) >= MEMO:
+                self.older = dict(self)
                 self.clear()
             self[piece] = found
         return found

@@ -124,3 +124,15 @@ def test_odd_rows(spark, stored, library):
     back = ids.select("doc_id", m.decoded("ids", PATH, P.PATTERN).alias("b")).collect()
     assert sorted(((r.doc_id, bytes(r.b).decode()) for r in back), key=repr) == sorted(((i, t or "") for i, t in rows), key=repr)
     assert m.round_trip(stored([]), PATH, P.PATTERN).count() == 0
+
+
+def test_a_full_memory_keeps_the_pieces_in_use(encoder, monkeypatch):
+    want = tuple(encoder.encode("zqxjzqxj"))
+    monkeypatch.setattr(m, "MEMO", 50)
+    pieces, made = m._Pieces(encoder.vocabulary), []
+    table = m.PrefixTable
+    monkeypatch.setattr(m, "PrefixTable", lambda v, data: made.append(data) or table(v, data))
+    for k in range(300):
+        assert pieces["zqxjzqxj"] == want
+        pieces[f"zqxj{k}q"]
+    assert made.count(b"zqxjzqxj") == 1 and len(pieces) <= 50 and len(pieces.older) <= 50
