@@ -41,13 +41,30 @@ def stored_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _VIEWS[key]
 
 
+# Tasks per core from which a scan is left as it is, and how much of an even share its largest may hold.
+_TASKS_PER_CORE, _UNEVEN = 4, 2
+
+
+def _evenly_split(lines: DataFrame) -> bool:
+    """Whether the scan itself gives every core several tasks of much the same size.
+
+    Rows per split come from the footers: no column is read.
+    """
+    cores = lines.sparkSession.sparkContext.defaultParallelism
+    splits, rows, most = (
+        lines.groupBy(F.spark_partition_id()).count().agg(F.count(F.lit(1)), F.sum("count"), F.max("count")).first()
+    )
+    return splits >= _TASKS_PER_CORE * cores and most <= _UNEVEN * rows / splits
+
+
 def _derived(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All columns of the derivation over ``lineitem``."""
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     cores = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # A file of one row group would be expanded by one task; the key columns are few and narrow.
-    lines = lines.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_quantity", "l_shipdate")
-    rows = lines.repartition(cores)
+    rows = lines.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_quantity", "l_shipdate")
+    if not _evenly_split(lines):
+        rows = rows.repartition(cores)
     for step in STEPS:
         rows = rows.withColumns({name: F.expr(text) for name, text in step.items()})
     return rows

@@ -6,14 +6,42 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Below this size a number of up to 4 decimals fits the decimals that Spark keeps in a machine word.
+_WORD = 1e13
+
+
+def _rounded_text(value: Column, digits: int) -> Column:
+    """``value`` rounded half up on the decimal text, with all its decimals.
+
+    A decimal prints several times faster than a format; what does not fit one (null, NaN,
+    infinite or huge) is formatted.
+    """
+    slow = F.format_string(f"%.{digits}f", F.round(value, digits))
+    if not 0 < digits <= 4:
+        return slow
+    fast = F.round(value, digits).cast(f"decimal(18,{digits})").cast("string")
+    return F.when(F.abs(value) < _WORD, fast).otherwise(slow)
+
+
 def short_number(value: Column, digits: int = 4) -> Column:
     """``0.5`` not ``0.5000``, ``0.0001`` not ``1.0E-4``."""
-    return F.regexp_replace(F.format_string(f"%.{digits}f", F.round(value, digits)), r"(\.\d+?)0+$", "$1")
+    text = _rounded_text(value, digits)
+    if digits < 1:
+        return F.regexp_replace(text, r"(\.\d+?)0+$", "$1")
+
+    def shorten(t: Column) -> Column:
+        """Without the zeros at the end, but for the first decimal."""
+        cut = F.rtrim(t, F.lit("0"))
+        cut = F.when(cut.endswith("."), F.concat(cut, F.lit("0"))).otherwise(cut)
+        return F.when(t.contains(".") & t.endswith("0"), cut).otherwise(t)
+
+    # Behind an array of one, so that the number is printed once and not per use.
+    return F.transform(F.array(text), shorten)[0]
 
 
 def fixed_number(value: Column, digits: int) -> Column:
     """Fixed number of decimals, rounded half up on the decimal text."""
-    return F.format_string(f"%.{digits}f", F.round(value, digits))
+    return _rounded_text(value, digits)
 
 
 def _reason(driver: Column, density: Column) -> Column:
@@ -73,8 +101,11 @@ def payload_density(byte_count: Column, packet_count: Column) -> Column:
 def narrative(score: Column, threshold: float, drivers: Column, density: Column) -> Column:
     """Why a flow was (not) flagged; the sentences are fixed values."""
     status = F.when(score >= F.lit(threshold), F.lit("ANOMALOUS")).otherwise(F.lit("BENIGN"))
-    reasons = F.array_join(F.transform(drivers, lambda d: _reason(d, density)), "; ")
-    reasons = F.when(reasons == "", F.lit("no single dominant outlier attribute")).otherwise(reasons)
+    joined = F.array_join(F.transform(drivers, lambda d: _reason(d, density)), "; ")
+    # Behind an array of one, so that the text is made once and not per use.
+    reasons = F.transform(
+        F.array(joined), lambda r: F.when(r == "", F.lit("no single dominant outlier attribute")).otherwise(r)
+    )[0]
     return F.concat(
         F.lit("Flow flagged as "),
         status,

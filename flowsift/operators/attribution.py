@@ -20,21 +20,25 @@ batch go through a level of a tree at once.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowsift.operators.features import feature_vector
-from flowsift.operators.forest import IsolationForest
+from flowsift.operators.forest import IsolationForest, numbers
 from flowsift.schema import FEATURES
 
 # Rows per step: the working arrays of one tree then stay in the processor cache.
 _CHUNK = 256
 # Tasks that may share the rows of one feature vector.
 SALTS = 4
+# Splits of a forest up to which a row is attributed faster than it is moved to another task.
+FEW_SPLITS = 1000
 
 
 def _compile_tree(tree: pd.DataFrame) -> dict | None:
@@ -171,6 +175,30 @@ def distinct_rows(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return x[first], which
 
 
+def cell_cuts(nodes: pd.DataFrame) -> dict[int, np.ndarray]:
+    """Split points per feature of the forest, ascending. Rows between the same ones pass the same tests."""
+    inner = nodes[nodes["feature"] >= 0]
+    return {int(f): np.unique(rows["threshold"].to_numpy(dtype=np.float64)) for f, rows in inner.groupby("feature", sort=True)}
+
+
+def distinct_cells(values: list[np.ndarray], cuts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """A row of each cell that occurs, and for each row the place of its cell among them.
+
+    ``values`` and ``cuts`` hold one array per feature that the forest splits on. NaN lies above
+    every split point, where the tests send it.
+    """
+    codes = [np.searchsorted(c, v) for v, c in zip(values, cuts)]
+    if math.prod(len(c) + 1 for c in cuts) < 2**62:
+        cell = codes[0].astype(np.int64)
+        for code, c in zip(codes[1:], cuts[1:]):
+            cell = cell * (len(c) + 1) + code
+    else:
+        wide = np.column_stack([code.astype(np.int32) for code in codes])
+        cell = wide.view(np.dtype((np.void, wide.dtype.itemsize * wide.shape[1]))).ravel()
+    _, first, which = np.unique(cell, return_index=True, return_inverse=True)
+    return first, which
+
+
 def base_value(forest: IsolationForest) -> float:
     """Attribution of nothing: minus the expected path length."""
     nodes = forest._require_fitted()
@@ -198,29 +226,45 @@ class FlowExplainer:
         return self._broadcast
 
     def phi(self) -> Column:
-        """Array of 24 attributions, as a column over the feature columns."""
+        """Array of 24 attributions, as a column over the feature columns.
+
+        Only features that the forest splits on cross into Python. A batch attributes each cell
+        of the forest's split points once: its rows pass the same tests, so they agree.
+        """
         compiled = self._compiled()
+        cuts = cell_cuts(self.forest.nodes)
+        used, cuts = list(cuts), list(cuts.values())
 
-        @F.pandas_udf("array<double>")
-        def attribute(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        @F.arrow_udf("array<double>")
+        def attribute(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
             trees, n_trees = compiled.value
             for batch in batches:
-                x = np.column_stack([s.to_numpy(dtype=np.float64) for s in batch])
-                distinct, which = distinct_rows(x)
-                yield pd.Series(list((_forest_phi(trees, distinct) / -n_trees).T[which]))
-
+                values = numbers(batch)
+                n = len(values[0])
+                if used and n:
+                    first, which = distinct_cells(values, cuts)
+                    x = np.zeros((len(first), len(FEATURES)))
+                    x[:, used] = np.column_stack([v[first] for v in values])
+                    phi = np.ascontiguousarray((_forest_phi(trees, x) / -n_trees).T)[which]
+                else:
+                    phi = np.zeros((n, len(FEATURES)))
+                offsets = np.arange(n + 1, dtype=np.int32) * len(FEATURES)
+                yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(phi.ravel()))
+
+        vector = feature_vector()
         # A deterministic function would be pushed into filters and run twice.
-        return attribute.asNondeterministic()(*feature_vector())
+        return attribute.asNondeterministic()(*[vector[f] for f in used or [0]])
 
     def compute_anomaly_shap(self, features: DataFrame) -> DataFrame:
         """``features`` with ``phi``; run it on alerted or sampled flows only.
 
-        A batch attributes each distinct vector once. Rows are first dealt out by their
-        vector, so equal ones meet in a batch and a task that holds most of the flagged
-        flows shares them with the others. A vector that most rows have goes to ``SALTS``
-        tasks. Streams keep the partitions of their source.
+        A batch attributes each distinct cell once. For a forest of many splits rows are first
+        dealt out by their vector, so equal ones meet in a batch and a task that holds most of
+        the flagged flows shares them with the others. A vector that most rows have goes to
+        ``SALTS`` tasks. For a forest of up to ``FEW_SPLITS`` splits moving the rows would cost
+        more than it saves, so they stay where they are. Streams keep the partitions of their source.
         """
-        if not features.isStreaming:
+        if not features.isStreaming and int((self.forest.nodes["feature"] >= 0).sum()) > FEW_SPLITS:
             tasks = int(features.sparkSession.conf.get("spark.sql.shuffle.partitions"))
             others = [f"`{c}`" for c, kind in features.dtypes if c not in FEATURES and "map<" not in kind]
             salt = F.pmod(F.xxhash64(*others), F.lit(SALTS)) if others else F.lit(0)
