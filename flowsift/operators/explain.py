@@ -7,6 +7,9 @@ looped over.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,19 +35,36 @@ def baseline_statistics(df: DataFrame, columns: list[str] | None = None) -> Data
 
 
 def top_drivers(phi: Column, scaled: Column, k: int = TOP_K, raw: Column | None = None) -> Column:
-    """The ``k`` largest positive attributions, or the ``k`` largest if none is positive."""
-    names = F.array(*[F.lit(n) for n in FEATURES])
-    ranked = F.array_sort(F.transform(phi, lambda v, i: F.struct((-v).alias("neg"), i.alias("i"))))
-    positive = F.filter(ranked, lambda d: d["neg"] < 0)
-    chosen = F.slice(F.when(F.size(positive) > 0, positive).otherwise(ranked), 1, k)
+    """The ``k`` largest positive attributions, or the ``k`` largest if none is positive.
+
+    The 24 entries are written out, so that generated code makes and sorts them; lambdas, which
+    Spark interprets, see the ``k`` chosen ones only. Positive ones alone are sorted, and all
+    are made only where none is positive.
+    """
+
+    def entry(i: int) -> Column:
+        return F.struct(
+            phi[i].alias("phi"),
+            F.lit(-i).alias("turn"),
+            F.lit(FEATURES[i]).alias("feature"),
+            scaled[i].alias("scaled"),
+            (F.lit(None).cast("double") if raw is None else raw[i]).alias("raw"),
+        )
+
+    def largest(entries: list[Column]) -> Column:
+        return F.slice(F.sort_array(F.array_compact(F.array(*entries)), asc=False), 1, k)
+
+    every = [entry(i) for i in range(len(FEATURES))]
+    above = [-phi[i] < 0 for i in range(len(FEATURES))]
+    positive = [F.when(is_above, e) for is_above, e in zip(above, every)]
+    chosen = F.when(phi.isNotNull(), F.when(reduce(or_, above), largest(positive)).otherwise(largest(every)))
 
     def record(d: Column) -> Column:
-        raw_value = F.lit(None).cast("double") if raw is None else F.element_at(raw, d["i"] + 1)
         return F.struct(
-            F.element_at(names, d["i"] + 1).alias("feature"),
-            F.round(-d["neg"], 4).alias("shap_contribution"),
-            F.round(F.element_at(scaled, d["i"] + 1), 4).alias("scaled_value"),
-            raw_value.alias("raw_value"),
+            d["feature"].alias("feature"),
+            F.round(d["phi"], 4).alias("shap_contribution"),
+            F.round(d["scaled"], 4).alias("scaled_value"),
+            d["raw"].alias("raw_value"),
         )
 
     return F.transform(chosen, record)
@@ -89,29 +109,21 @@ def waterfall(attributed: DataFrame, base_value: float, key: str = "flow_id") ->
     Each flow has 24 attributions, so ranking and running sums are array work
     inside the row; nothing is shuffled.
     """
-    top = WATERFALL_ROWS - 1
-    names = F.array(*[F.lit(n) for n in FEATURES])
-    ranked = F.array_sort(
-        F.transform(F.col("phi"), lambda v, i: F.struct((-F.abs(v)).alias("neg"), i.alias("i"), v.alias("v")))
-    )
-    shown = F.transform(
-        F.slice("__ranked", 1, top),
-        lambda d: F.struct(F.element_at(names, d["i"] + 1).alias("feature"), d["v"].alias("phi")),
-    )
-    rest = F.aggregate(
-        F.slice("__ranked", top + 1, len(FEATURES) - top), F.lit(0.0), lambda acc, d: acc + d["v"]
-    )
-    other = F.struct(F.lit(f"{len(FEATURES) - top} other features").alias("feature"), rest.alias("phi"))
-    rows = attributed.select(key, ranked.alias("__ranked")).select(key, F.concat(shown, F.array(other)).alias("__rows"))
-    running = F.transform(
-        F.sequence(F.lit(1), F.lit(WATERFALL_ROWS)),
-        lambda n: F.struct(
-            n.alias("position"),
-            F.element_at("__rows", n)["feature"].alias("feature"),
-            F.element_at("__rows", n)["phi"].alias("phi"),
-            F.aggregate(F.slice("__rows", F.lit(1), n), F.lit(base_value), lambda acc, d: acc + d["phi"]).alias(
-                "running_total"
-            ),
-        ),
-    )
-    return rows.select(key, F.explode(running).alias("r")).select(key, "r.*")
+    top, phi = WATERFALL_ROWS - 1, F.col("phi")
+    # All entries are written out, so that generated code and no lambda makes, sorts and sums them.
+    entries = [
+        F.struct(F.abs(phi[i]).alias("size"), F.lit(-i).alias("turn"), F.lit(name).alias("feature"), phi[i].alias("phi"))
+        for i, name in enumerate(FEATURES)
+    ]
+    ranked = F.when(phi.isNotNull(), F.sort_array(F.array(*entries), asc=False))
+    rows = attributed.select(key, ranked.alias("__ranked"))
+    at = [F.col("__ranked")[i] for i in range(len(FEATURES))]
+    rest = reduce(lambda total, d: total + d["phi"], at[top:], F.lit(0.0))
+    steps = [(d["feature"], d["phi"]) for d in at[:top]] + [(F.lit(f"{len(FEATURES) - top} other features"), rest)]
+    running, total = [], F.lit(base_value)
+    for n, (feature, value) in enumerate(steps, 1):
+        total = total + value
+        running.append(
+            F.struct(F.lit(n).alias("position"), feature.alias("feature"), value.alias("phi"), total.alias("running_total"))
+        )
+    return rows.select(key, F.explode(F.array(*running)).alias("r")).select(key, "r.*")
