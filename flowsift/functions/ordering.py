@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import struct
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -42,3 +44,9 @@ def from_image(image: Column) -> Column:
         F.when(exponent == 0, fraction).otherwise(fraction + float(1 << _MANTISSA)) * power
     )
     return F.when(image < 0, -value).otherwise(value)
+
+
+def image_value(image: int) -> float:
+    """The double of an image as a number; images beyond those of doubles give the infinite ones."""
+    size = struct.unpack("<d", struct.pack("<q", min(abs(image), _INFINITE)))[0]
+    return -size if image < 0 else size

@@ -11,24 +11,61 @@ by group and column, so neither the number of groups nor that of rows is limited
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowsift.functions.ordering import from_image, order_image
+from flowsift.functions.ordering import from_image, image_value, order_image
 from flowsift.storage import materialize
 
 DIGIT_BITS = 16
 _PASSES = 64 // DIGIT_BITS
 _KEY = ["g", "c"]
-
-
-def _values(df: DataFrame, names: list[str], group: str | None) -> DataFrame:
-    """``g, c, v``: group as text that tells null apart, number of the column, image of the value."""
+# Bounds that a value is compared with; a column with more open digits gets the range from the first to the last.
+_BOUNDS = 16
+# Open digits of all groups that the driver looks at.
+_OPEN_DIGITS = 10_000
+Bounds = dict[int, list[tuple[float, float]]]
+
+
+def _bounds(open_ranks: DataFrame, level: int) -> Bounds | None:
+    """Per column the ranges of doubles, ends included, with the digits of its open ranks; None if there are too many."""
+    digits = open_ranks.select("c", "digit").distinct().limit(_OPEN_DIGITS + 1).collect()
+    if len(digits) > _OPEN_DIGITS:
+        return None
+    width, found = 1 << (64 - DIGIT_BITS * level), {}
+    for r in sorted(digits):
+        low, high, ranges = r["digit"] * width, (r["digit"] + 1) * width - 1, found.setdefault(r["c"], [])
+        if ranges and ranges[-1][1] + 1 == low:
+            low = ranges.pop()[0]
+        ranges.append((low, high))
+    kept = {c: ranges if len(ranges) <= _BOUNDS else [(ranges[0][0], ranges[-1][1])] for c, ranges in found.items()}
+    return {c: [(image_value(low), image_value(high)) for low, high in ranges] for c, ranges in kept.items()}
+
+
+def _values(df: DataFrame, names: list[str], group: str | None, bounds: Bounds | None = None) -> DataFrame:
+    """``g, c, v``: group as text that tells null apart, number of the column, image of the value.
+
+    With ``bounds`` only values inside those of their column.
+    """
     key = F.lit("") if group is None else F.coalesce(F.concat(F.lit("="), F.col(group).cast("string")), F.lit(""))
     doubles = [F.col(f"`{c}`").cast("double").alias(f"v{i}") for i, c in enumerate(names)]
-    cells = F.array(*[F.struct(F.lit(i).alias("c"), F.col(f"v{i}").alias("v")) for i in range(len(names))])
+    narrow, places = df.select(key.alias("g"), *doubles), range(len(names))
+    if bounds is not None:
+        places = sorted(bounds)
+
+        def inside(i: int) -> Column:
+            return reduce(or_, [F.col(f"v{i}").between(low, high) for low, high in bounds[i]])
+
+        narrow = narrow.select("g", *[F.when(inside(i), F.col(f"v{i}")).alias(f"v{i}") for i in places])
+        narrow = narrow.where(F.coalesce(*[f"v{i}" for i in places]).isNotNull())
+    cells = F.array(*[F.struct(F.lit(i).alias("c"), F.col(f"v{i}").alias("v")) for i in places])
     # The image is made behind the cells, so its expression is compiled once and not per column.
-    long = df.select(key.alias("g"), *doubles).select("g", F.inline(cells).alias("c", "v"))
+    long = narrow.select("g", F.inline(cells).alias("c", "v"))
+    if bounds is not None:
+        long = long.where("v IS NOT NULL")
     return long.select("g", "c", order_image(F.col("v")).alias("v"))
 
 
@@ -74,7 +111,8 @@ def quantile_table(df: DataFrame, columns: dict[str, list[float]], group: str |
             break
         # Values that share the digits found so far with an open rank of their group and column.
         heads = open_ranks.select(*_KEY, "digit").distinct()
-        kept = values.withColumn("digit", F.shiftright("v", 64 - DIGIT_BITS * level)).join(heads, [*_KEY, "digit"])
+        near = _values(df, names, group, _bounds(open_ranks, level))
+        kept = near.withColumn("digit", F.shiftright("v", 64 - DIGIT_BITS * level)).join(heads, [*_KEY, "digit"])
         keys = [*_KEY, "digit"]
         digits = _histogram(kept, keys, level)
         state = materialize(_select(open_ranks.drop("least", "most"), digits, keys), "ranks")
