@@ -8,13 +8,18 @@ place in the files that are read, so no row moves to get its id.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowsift.operators.running import with_rank
 from flowsift.storage import materialize
 
+# Bits that tell which keys may occur, at least and at most: 8 kB and 16 MB.
+KEY_BITS = (1 << 16, 1 << 27)
 # Copies of one row that a single task writes out.
 COPIES_PER_TASK = 100_000
 
@@ -124,6 +129,36 @@ def has_repeated_key(df: DataFrame, key: str) -> bool:
     return not repeated.isEmpty()
 
 
+def may_be_among(keys: DataFrame, key: str, n_rows: int) -> Callable[[Column], Column] | None:
+    """A test for rows of another table: false only for keys that ``keys`` does not hold.
+
+    One bit per slot of a hash, in bounded room whatever ``n_rows``, the rows to expect at most.
+    Equal keys, null ones too, share a slot, so all rows of a key pass or none does. None where
+    most slots are taken, as the test would keep most rows.
+    """
+    least, most = KEY_BITS
+    bits = min(max(1 << (2 * n_rows).bit_length(), least), most)
+
+    def slot(k: Column) -> Column:
+        return F.xxhash64(k).bitwiseAND(bits - 1)
+
+    words = keys.select(slot(F.col(key)).alias("s")).groupBy(F.shiftright("s", 6).alias("at"))
+    found = words.agg(F.expr("bit_or(shiftleft(1L, CAST(s & 63 AS INT)))").alias("word")).toArrow()
+    taken = np.zeros(bits >> 6, dtype=np.uint64)
+    taken[found["at"].to_numpy()] = found["word"].to_numpy().view(np.uint64)
+    if int(np.bitwise_count(taken).sum()) > bits // 2:
+        return None
+    shared = keys.sparkSession.sparkContext.broadcast(taken)
+
+    @F.arrow_udf("boolean")
+    def is_taken(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            s = batch.to_numpy(zero_copy_only=False)
+            yield pa.array((shared.value[s >> 6] >> (s & 63).astype(np.uint64)) & np.uint64(1) == 1)
+
+    return lambda k: is_taken(slot(k))
+
+
 def with_occurrence(df: DataFrame, key: str, name: str = "occurrence") -> DataFrame:
     """Add ``name``: how many rows with the same key stand before this one in the files; 0 where keys are unique."""
     rows, place = located(df)

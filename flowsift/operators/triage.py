@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowsift.operators.rowkeys import with_occurrence
+from flowsift.operators.rowkeys import may_be_among, with_occurrence
 from flowsift.schema import THREATS, UNKNOWN_THREAT, threat_dimension
 
 VENDOR_PRODUCT = "flowsift"
@@ -128,10 +128,17 @@ def generate_alerts_batch(
 
     Where keys repeat, the first row of a key in ``flows`` meets the first one in
     ``explanations`` and so on, so n equal keys give n alerts; null keys pair with null keys.
+    Rows whose key no alert has leave both tables in the scan, before keys are counted and
+    rows are moved; all rows of a key stay or leave together, so their numbers do not change.
     """
     number = "__occurrence"
     flag = ["is_alert"] if filter_anomalies_only else []
     narrow = explanations.select(F.col(key).alias("__key"), *flag, "anomaly_score", "top_drivers", "narrative")
+    if filter_anomalies_only:
+        flagged = narrow.where(F.col("is_alert") == 1).select("__key")
+        wanted = may_be_among(flagged, "__key", narrow.count())
+        if wanted is not None:
+            narrow, flows = narrow.where(wanted(F.col("__key"))), flows.where(wanted(F.col(key)))
     told = with_occurrence(narrow, "__key", "__told")
     if filter_anomalies_only:
         told = told.where(F.col("is_alert") == 1)
