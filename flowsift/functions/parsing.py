@@ -22,9 +22,13 @@ def strip(text: Column) -> Column:
 
 
 def to_number(text: Column) -> Column:
-    """Double value of a text, null if it is no plain number."""
-    clean = strip(text)
-    return F.when(clean.rlike(_NUMBER), clean.try_cast("double"))
+    """Double value of a text, null if it is no plain number.
+
+    A whole number that prints as it is written, as most counts do, needs no pattern.
+    """
+    whole, clean = text.cast("string").try_cast("bigint"), strip(text)
+    plain = F.when(whole.cast("string") == text.cast("string"), whole.cast("double"))
+    return F.coalesce(plain, F.when(clean.rlike(_NUMBER), clean.try_cast("double")))
 
 
 def to_whole(text: Column, default: int) -> Column:
